@@ -24,7 +24,9 @@ def unique_lookup(dim: DataFrame, keys: Sequence[str], *payload: str) -> DataFra
     Among rows of one key the one with the greatest payload stays. NULL keys can
     match nothing and are dropped.
     """
-    known = dim.select(*keys, *payload).dropna(subset=list(keys))
+    known = dim.select(*keys, *payload)
+    for key in keys:
+        known = known.filter(F.col(key).isNotNull())
     if not payload:
         return known.distinct()
     if len(payload) == 1:

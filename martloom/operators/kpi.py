@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_FLAGS = "_flags"
-
-
 @dataclass(frozen=True)
 class Metric:
     """``how`` the ``value`` of the rows on which all ``when`` flags hold is combined.
@@ -25,49 +22,54 @@ class Metric:
     when: tuple[str, ...]
 
 
-def conditional_metrics(
-    df: DataFrame,
+def bit_positions(metrics: Sequence[Metric]) -> dict[str, int]:
+    """The bit each flag of the metrics is kept in."""
+    used = sorted({flag for m in metrics for flag in m.when})
+    if len(used) > 62:
+        raise ValueError("at most 62 flags fit one bit mask")
+    return {name: 1 << i for i, name in enumerate(used)}
+
+
+def pack(flags: Mapping[str, Column], bits: Mapping[str, int]) -> Column:
+    """The flags that hold as one long; an unknown (NULL) flag does not hold."""
+    packed = F.lit(0).cast("bigint")
+    for name, holds in flags.items():
+        if name in bits:
+            bit = F.lit(bits[name]).cast("bigint")
+            packed = packed.bitwiseOR(F.when(holds, bit).otherwise(F.lit(0).cast("bigint")))
+    return packed
+
+
+def aggregate_packed(
+    rows: DataFrame,
     keys: Sequence[str],
-    flags: Mapping[str, Column],
-    values: Mapping[str, Column],
+    packed: str,
+    bits: Mapping[str, int],
     metrics: Sequence[Metric],
-    finish: Mapping[str, object] | None = None,
+    finish: Mapping[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """One row per key with all metrics, in one aggregation and one exchange.
 
-    Every flag is evaluated once per row into one bit of a long, so a metric's
-    condition is a mask test whatever the number of its flags. That keeps the
-    generated code of a wide aggregate small enough to be compiled.
-    An unknown (NULL) flag does not hold. ``finish`` maps a value name to a
-    function applied to its aggregate (a unit conversion done once per group).
+    A metric's condition is one mask test on the ``packed`` column whatever the number
+    of its flags, which keeps the generated code of a wide aggregate small enough to
+    be compiled. ``finish`` maps a value column to a function of its aggregate (a unit
+    conversion done once per group).
     """
     finish = finish or {}
-    used = sorted({f for m in metrics for f in m.when})
-    bit = {name: 1 << i for i, name in enumerate(used)}
-    if len(used) > 62:
-        raise ValueError("at most 62 flags fit one bit mask")
-    needed = sorted({m.value for m in metrics if m.value})
-    packed = F.lit(0).cast("bigint")
-    for name in used:
-        packed = packed.bitwiseOR(
-            F.when(flags[name], F.lit(bit[name]).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-        )
-    rows = df.select(*keys, packed.alias(_FLAGS), *[values[v].alias(f"_{v}") for v in needed])
 
     def holds(metric: Metric) -> Column:
-        mask = F.lit(sum(bit[f] for f in metric.when)).cast("bigint")
-        return F.col(_FLAGS).bitwiseAND(mask) == mask
+        mask = F.lit(sum(bits[f] for f in metric.when)).cast("bigint")
+        return F.col(packed).bitwiseAND(mask) == mask
 
     def combine(metric: Metric) -> Column:
-        value = F.col(f"_{metric.value}") if metric.value else None
         if metric.how == "count":
             out = F.count_if(holds(metric))
         elif metric.how == "total":
-            out = F.sum(F.when(holds(metric), value).otherwise(0))
+            out = F.sum(F.when(holds(metric), F.col(metric.value)).otherwise(0))
         elif metric.how == "peak":
-            out = F.max(F.when(holds(metric), value).otherwise(0))
+            out = F.max(F.when(holds(metric), F.col(metric.value)).otherwise(0))
         elif metric.how == "latest":
-            out = F.max(F.when(holds(metric), value))
+            out = F.max(F.when(holds(metric), F.col(metric.value)))
         else:
             raise ValueError(f"unknown aggregate {metric.how!r}")
         return finish.get(metric.value, lambda c: c)(out).alias(metric.name)
@@ -75,6 +77,21 @@ def conditional_metrics(
     return rows.groupBy(*keys).agg(*[combine(m) for m in metrics])
 
 
+def conditional_metrics(
+    df: DataFrame,
+    keys: Sequence[str],
+    flags: Mapping[str, Column],
+    values: Mapping[str, Column],
+    metrics: Sequence[Metric],
+    finish: Mapping[str, Callable[[Column], Column]] | None = None,
+) -> DataFrame:
+    """``aggregate_packed`` on flags and values that are all columns of ``df``."""
+    bits = bit_positions(metrics)
+    needed = sorted({m.value for m in metrics if m.value})
+    rows = df.select(*keys, pack(flags, bits).alias("_flags"), *[values[v].alias(v) for v in needed])
+    return aggregate_packed(rows, keys, "_flags", bits, metrics, finish)
+
+
 def cents(amount: Column) -> Column:
     """Money with two decimals as a bigint number of cents.
 

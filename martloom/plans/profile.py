@@ -12,7 +12,7 @@ from martloom.functions.classify import home_network
 from martloom.functions.dates import as_date, day_literal
 from martloom.functions.text import clean_id
 from martloom.operators.joins import role_lookup, unique_lookup
-from martloom.operators.kpi import Metric, cents, conditional_metrics, money
+from martloom.operators.kpi import Metric, aggregate_packed, bit_positions, cents, money, pack
 from martloom.plans.recharge import is_topup
 
 KEYS = ["subs_key", "ban_key", "period"]
@@ -90,7 +90,9 @@ def _data_metrics() -> list[Metric]:
         return Metric(f"gprs_data_mb_vlm_{kind}", "total", "bytes", ("used", "data", "counted", *when))
 
     return [
-        *[volume(kind, "home", f"net_{kind}") for kind in ("2g", "3g", "4g")],
+        volume("2g", "home", "no_lte", "cell_2g"),
+        volume("3g", "home", "no_lte", "cell_3g"),
+        volume("4g", "home", "lte_or_4g"),
         volume("roam", "roaming"),
     ]
 
@@ -114,11 +116,11 @@ def _sms_metrics() -> list[Metric]:
 
 def _mfs_metrics() -> list[Metric]:
     out: list[Metric] = []
-    for kind, value, flag in (("write_off", "revenue", "mfs_debit"), ("recharge", "turnover", "mfs_credit")):
+    for kind, value, flag in (("write_off", "revenue", "debit"), ("recharge", "turnover", "credit")):
         out += [
-            Metric(f"total_mfs_{kind}_amt", "total", value, (flag,)),
-            Metric(f"max_mfs_{kind}_amt", "peak", value, (flag,)),
-            Metric(f"max_mfs_{kind}_count", "count", None, (flag,)),
+            Metric(f"total_mfs_{kind}_amt", "total", value, ("mfs", flag)),
+            Metric(f"max_mfs_{kind}_amt", "peak", value, ("mfs", flag)),
+            Metric(f"max_mfs_{kind}_count", "count", None, ("mfs", flag)),
         ]
     return out
 
@@ -141,21 +143,17 @@ FAMILIES: dict[str, list[Metric]] = {
 }
 
 
-def _flags(mfs_services: Sequence[int]) -> dict[str, Column]:
-    """One boolean per condition; columns ``_stream``, ``_content``, ``_service``,
-    ``_caller``, ``_called`` and ``_net`` come from the lookups."""
+def _fact_flags() -> dict[str, Column]:
+    """Conditions on the usage row alone."""
     src, kind = F.col("src"), F.col("call_type_code")
     usage = src.isin("CHA", "PSA", "ROAM", "GPRS")
     service = (src == "CHR") & F.col("charge_type").isin("O", "R")
     orig, term = F.col("orig_parent_operator_code"), F.col("term_parent_operator_code")
-    mfs = (src == "CHR") & F.col("_service").isin(*mfs_services) & (F.col("charge_type") == "N")
-    not_lte = F.col("network_type") != "L"
-    flags = {
+    one_off = (src == "CHR") & (F.col("charge_type") == "N")
+    return {
         "usage_charge": usage,
         "service_charge": service,
         "any_charge": usage | service,
-        "content": F.col("_content").isNotNull(),
-        "no_content": F.col("_content").isNull(),
         "used": usage | (src == "POST"),
         "voice": kind == "V",
         "data": kind == "G",
@@ -173,22 +171,41 @@ def _flags(mfs_services: Sequence[int]) -> dict[str, Column]:
         "counted": F.col("counted_cdr_ind") == "1",
         "onnet": (orig == term) & (term == OWN_OPERATOR),
         "offnet": orig != term,
-        # An unknown cell is no technology here, unlike in the location score.
-        "net_2g": not_lte & ~F.col("_net").isin("3G", "4G"),
-        "net_3g": not_lte & (F.col("_net") == "3G"),
-        "net_4g": (F.col("network_type") == "L") | (F.col("_net") == "4G"),
-        "mfs_debit": mfs & (F.col("charge_amt") > 0),
-        "mfs_credit": mfs & (F.col("charge_amt") < 0),
+        "no_lte": F.col("network_type") != "L",
+        "debit": one_off & (F.col("charge_amt") > 0),
+        "credit": one_off & (F.col("charge_amt") < 0),
         "topup": is_topup(),
     }
-    for stream, code in STREAMS.items():
-        flags[f"stream_{stream}"] = F.col("_stream") == code
-    for country, code in COUNTRIES.items():
-        flags[f"caller_{country}"] = F.col("_caller") == code
-        flags[f"called_{country}"] = F.col("_called") == code
-    return flags
 
 
+def _service_flags(mfs_services: Sequence[int]) -> dict[str, Column]:
+    return {
+        "content": F.col("_content").isNotNull(),
+        "no_content": F.col("_content").isNull(),
+        "mfs": F.col("_service").isin(*mfs_services),
+        **{f"stream_{name}": F.col("_stream") == code for name, code in STREAMS.items()},
+    }
+
+
+def _country_flags() -> dict[str, Column]:
+    return {
+        f"{end}_{country}": F.col(f"_{end}") == code
+        for end in ("caller", "called")
+        for country, code in COUNTRIES.items()
+    }
+
+
+def _cell_flags() -> dict[str, Column]:
+    """An unknown cell is no technology here, unlike in the location score."""
+    net = F.col("_net")
+    return {
+        "cell_2g": ~net.isin("3G", "4G"),
+        "cell_3g": net == "3G",
+        "lte_or_4g": F.col("_lte") | (net == "4G"),
+    }
+
+
+# Money in cents and counters as integers, so that sums are exact in any order.
 _VALUES = {
     "revenue": lambda: cents(F.col("charge_amt") + F.col("vat_amt")),
     "turnover": lambda: F.abs(cents(F.col("charge_amt") + F.col("vat_amt"))),
@@ -262,6 +279,7 @@ def _with_countries(fact: DataFrame, inputs: Mapping[str, DataFrame]) -> DataFra
 
 
 def _with_cell(fact: DataFrame, inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """Technology of the cell; ``lac`` and ``cell_id`` were cleaned before."""
     cells = unique_lookup(
         inputs["cell_site_actual"].select(
             F.col("lac").cast("bigint").alias("_lac"),
@@ -271,19 +289,28 @@ def _with_cell(fact: DataFrame, inputs: Mapping[str, DataFrame]) -> DataFrame:
         ["_lac", "_cell"],
         "_net",
     )
-    return fact.join(
-        cells,
-        (clean_id(F.col("lac")) == F.col("_lac")) & (clean_id(F.col("cell_id")) == F.col("_cell")),
-        "left",
-    )
+    return fact.join(cells, (F.col("lac") == F.col("_lac")) & (F.col("cell_id") == F.col("_cell")), "left")
 
 
-# Which lookup provides a flag's columns.
-_LOOKUPS = (
-    (_with_service, ("content", "no_content", "stream_", "mfs_")),
-    (_with_countries, ("caller_", "called_")),
-    (_with_cell, ("net_",)),
-)
+def _lookups(mfs_services: Sequence[int]) -> list[tuple]:
+    """Per dimension: the fact columns it needs, the join, and the flags it decides."""
+    return [
+        ({"business_service_key": F.col("business_service_key")}, _with_service, _service_flags(mfs_services)),
+        (
+            {c: F.col(c) for c in ("dial_digit_key_from", "dial_digit_key_to")},
+            _with_countries,
+            _country_flags(),
+        ),
+        (
+            {
+                "lac": clean_id(F.col("lac")),
+                "cell_id": clean_id(F.col("cell_id")),
+                "_lte": F.col("network_type") == "L",
+            },
+            _with_cell,
+            _cell_flags(),
+        ),
+    ]
 
 
 def profile(
@@ -295,22 +322,35 @@ def profile(
 ) -> DataFrame:
     """Metrics of the given families per subscriber, account and day.
 
-    Days from ``as_of - days_back`` to ``as_of`` are included. Only the lookups that
-    the requested families need are joined.
+    Days from ``as_of - days_back`` to ``as_of`` are included. Rows are reduced to
+    keys, values and one long of flags before any join, so the lookups (only those
+    the families need) carry a narrow row whether they broadcast or shuffle.
     """
     as_of = as_date(as_of)
     metrics = [m for family in families for m in FAMILIES[family]]
-    wanted = {flag for m in metrics for flag in m.when}
+    bits = bit_positions(metrics)
+    values = {m.value: _VALUES[m.value]() for m in metrics if m.value}
+    lookups = [entry for entry in _lookups(mfs_services) if bits.keys() & entry[2].keys()]
     started = F.col("call_start_time")
-    fact = inputs["det_layer"].filter(
-        (started >= day_literal(as_of - timedelta(days=days_back)))
-        & (started < day_literal(as_of + timedelta(days=1)))
+    in_window = (started >= day_literal(as_of - timedelta(days=days_back))) & (
+        started < day_literal(as_of + timedelta(days=1))
     )
-    for lookup, prefixes in _LOOKUPS:
-        if any(flag.startswith(prefixes) for flag in wanted):
-            fact = lookup(fact, inputs)
-    fact = fact.withColumn("period", F.to_date("call_start_time"))
-    flags = {name: c for name, c in _flags(mfs_services).items() if name in wanted}
-    values = {m.value: _VALUES[m.value]() for m in metrics if m.value}
-    out = conditional_metrics(fact, KEYS, flags, values, metrics, _FINISH)
+    join_keys = {name: c for needs, _, _ in lookups for name, c in needs.items()}
+    rows = (
+        inputs["det_layer"]
+        .filter(in_window)
+        .select(
+            "subs_key",
+            "ban_key",
+            F.to_date(started).alias("period"),
+            pack(_fact_flags(), bits).alias("_flags"),
+            *[c.alias(name) for name, c in {**values, **join_keys}.items()],
+        )
+    )
+    packed = F.col("_flags")
+    for _, join, flags in lookups:
+        rows = join(rows, inputs)
+        packed = packed.bitwiseOR(pack(flags, bits))
+    narrow = rows.select(*KEYS, packed.alias("_flags"), *values)
+    out = aggregate_packed(narrow, KEYS, "_flags", bits, metrics, _FINISH)
     return out.withColumn("calc_date", day_literal(as_of))

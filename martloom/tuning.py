@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Prune the far side of a selective join before it is shuffled.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # A generated method beyond this size is never compiled by HotSpot; separate
+    # operators are faster than one interpreted stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A rewrite for a date replaces that date only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
