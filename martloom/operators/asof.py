@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.operators.joins import unique_lookup
+
 
 def prior_record(
     records: DataFrame,
@@ -67,6 +69,5 @@ def with_prior(
 
     Only records of the keys present on the left are read into the window.
     """
-    wanted = left.select(key).distinct()
-    pool = records.join(wanted, key, "left_semi")
+    pool = records.join(unique_lookup(left, [key]), key, "left_semi")
     return left.join(prior_record(pool, key, order, payload, block), order, "left")

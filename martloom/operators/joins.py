@@ -23,15 +23,22 @@ def unique_lookup(dim: DataFrame, keys: Sequence[str], *payload: str) -> DataFra
 
     Among rows of one key the one with the greatest payload stays. NULL keys can
     match nothing and are dropped.
+
+    The hash of the key among the grouping columns changes no group. It makes the
+    aggregate's partitioning differ from the join's, so a shuffled join reads both
+    sides from exchanges of its own - the shape in which adaptive execution can split
+    the fact's partition of a hot key. An aggregate on the bare key would be joined in
+    place and pin every row of a hot key to one task. A broadcast join is unaffected.
     """
     known = dim.select(*keys, *payload)
     for key in keys:
         known = known.filter(F.col(key).isNotNull())
+    groups = known.groupBy(*keys, F.hash(*keys).alias("_spread"))
     if not payload:
-        return known.distinct()
+        return groups.agg(F.lit(1)).select(*keys)
     if len(payload) == 1:
-        return known.groupBy(*keys).agg(F.max(payload[0]).alias(payload[0]))
-    best = known.groupBy(*keys).agg(F.max(F.struct(*payload)).alias("_row"))
+        return groups.agg(F.max(payload[0]).alias(payload[0])).select(*keys, *payload)
+    best = groups.agg(F.max(F.struct(*payload)).alias("_row"))
     return best.select(*keys, *[F.col("_row")[p].alias(p) for p in payload])
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,11 @@ from martloom.sources.readers import ddmmyyyy, mm_yyyy
 _SETTING = "spark.checkpoint.dir"
 
 
+@lru_cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="martloom-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
@@ -24,8 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="martloom-")
-        spark.conf.set(_SETTING, folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 

@@ -53,3 +53,31 @@ def test_profile_reads_only_needed_columns(spark, sf):
     stored["det_layer"] = q.folders.materialise(t["det_layer"], "det-layer")
     plan = q._profile(stored, ("topup",))._jdf.queryExecution().executedPlan().toString()
     assert "rounded_data_volume" not in plan and "Join" not in plan
+
+
+def test_a_hot_key_and_null_keys_are_split_in_shuffled_lookups(spark, tmp_path):
+    """A third of the fact on one key and a third on NULL, with a lookup too big to broadcast."""
+    spark.range(20000).selectExpr("id d", "id * 2 v").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    hot = "case id % 3 when 0 then 7 when 1 then null else id % 20000 end"
+    fact = spark.range(0, 400000, 1, 16).selectExpr("id", f"{hot} k", "uuid() text")
+    q.tune(spark)
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        looked_up = q.joins.role_lookup(fact, dim, "d", {"k": {"v": "v"}})
+        total = looked_up.selectExpr("count(*) n", "count(v) known", "sum(v) v", "max(text) t")
+        row = total.collect()[0]
+        assert "skew=true" in physical(total)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    keys = [7 if i % 3 == 0 else None if i % 3 == 1 else i % 20000 for i in range(400000)]
+    known = [k for k in keys if k is not None]
+    assert (row.n, row.known, row.v) == (400000, len(known), 2 * sum(known))
