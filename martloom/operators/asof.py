@@ -34,9 +34,13 @@ def prior_record(
     named = records.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_key"),
         F.col(order).alias("_order"),
-        F.floor(F.col(order) / F.lit(block)).alias("_block"),
+        (F.col(order) - F.pmod(F.col(order), F.lit(block))).alias("_block"),
         F.struct(*[c.alias(n) for n, c in columns.items()]).alias("_row"),
     )
+    # Rows that arrive partitioned by the key alone (from a join on it) would satisfy the
+    # window below as they are and leave a hot key in one task, so the exchange by block
+    # is explicit. It is the only one, and both branches below read it.
+    named = named.repartition("_key", "_block")
     in_block = Window.partitionBy("_key", "_block").orderBy("_order")
     whole_block = in_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     local = named.select(

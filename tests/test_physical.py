@@ -81,3 +81,19 @@ def test_a_hot_key_and_null_keys_are_split_in_shuffled_lookups(spark, tmp_path):
     keys = [7 if i % 3 == 0 else None if i % 3 == 1 else i % 20000 for i in range(400000)]
     known = [k for k in keys if k is not None]
     assert (row.n, row.known, row.v) == (400000, len(known), 2 * sum(known))
+
+
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_prior_record_spreads_a_key_by_blocks(spark, sf, limit):
+    t = Tables(q.tune(spark), sf)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        orders = t["fmc_order_data"]
+        reached = q.orders.reached_orders(orders, t["fmc_change_status_log"], q.orders.BUNDLE, *q.ORDERS)
+        plan = physical(q.orders.with_prior_order(reached, orders))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [line.strip(" :+-") for line in plan.splitlines()]
+    windows = [i for i, line in enumerate(lines) if line.startswith("Window") and "_block" in line.split("],")[-1]]
+    exchanges = [line for line in lines if line.startswith("Exchange hashpartitioning(_key") and "_block" in line]
+    assert windows and len(exchanges) == 2  # one per branch when planned, reused when run
