@@ -8,8 +8,6 @@ are merged and the spans verified by their share of the template's grams.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,19 +50,38 @@ NEAR = 2
 SHARE = 0.6
 
 
-def _words(phrase: str) -> list[str]:
-    return re.findall(r"[0-9a-z]+", phrase.lower())
-
-
 def license_grams(spark: SparkSession) -> DataFrame:
     """Gram positions of the templates and the base phrases: their number is fixed by the lists above."""
-    rows = [(_words(phrase)[:GRAM], _words(phrase), "base", label, 0, 0, 0) for phrase, label in BASE_PHRASES]
-    for number, (label, template) in enumerate(TEMPLATES):
-        words = _words(template)
-        grams = [words[i : i + GRAM] for i in range(len(words) - GRAM + 1)]
-        rows += [(gram, gram, "vote", label, number, i, len(grams)) for i, gram in enumerate(grams)]
-    schema = "gram array<string>, phrase array<string>, kind string, label string, template int, at int, grams int"
-    return spark.createDataFrame(rows, schema).withColumn("gram_hash", F.xxhash64("gram")).drop("gram")
+    ordered = [("base", label, phrase) for phrase, label in BASE_PHRASES]
+    ordered += [("vote", label, template) for label, template in TEMPLATES]
+    entries = F.array(
+        *(
+            F.struct(
+                F.lit(kind).alias("kind"),
+                F.lit(label).alias("label"),
+                F.lit(number).alias("template"),
+                F.lit(text).alias("text"),
+            )
+            for number, (kind, label, text) in enumerate(ordered)
+        )
+    )
+    last = F.when(F.col("kind") == "vote", F.size("whole") - GRAM).otherwise(0)
+    size = F.when(F.col("kind") == "vote", GRAM).otherwise(F.size("whole"))
+    return (
+        spark.range(1)
+        .select(F.explode(entries).alias("e"))
+        .select("e.kind", "e.label", "e.template", normal_words(F.col("e.text")).alias("whole"))
+        .select("*", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+        .select(
+            F.xxhash64(F.slice("whole", F.col("at") + 1, F.lit(GRAM))).alias("gram_hash"),
+            F.slice("whole", F.col("at") + 1, size).alias("phrase"),
+            "kind",
+            "label",
+            "template",
+            "at",
+            (last + 1).alias("grams"),
+        )
+    )
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
