@@ -104,7 +104,7 @@ class LineField:
         return labels[::-1]
 
 
-def train_field(chains: list[tuple[np.ndarray, int]], rounds: int = 200, rate: float = 0.1) -> LineField:
+def train_field(chains: list[tuple[np.ndarray, int]], rounds: int = 100, rate: float = 0.2) -> LineField:
     """Maximise the chains' conditional likelihood by gradient steps (Adam), with a small ridge.
 
     ``chains``: features of consecutive lines and their label. Without chains

@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are words and word beginnings, hashed to buckets; a text is the set of its
-buckets. Besides a weight each bucket has factors, whose products score pairs of
+Terms are words, word beginnings, and beginnings that several different words of a
+text share, hashed to buckets; a text is the set of its buckets. Besides a weight each bucket has factors, whose products score pairs of
 terms in one text. Trained here on a bounded sample of labelled rows.
 """
 
@@ -22,9 +22,11 @@ RESULT = "held_out boolean, score double, predicted int"
 
 #: Labelled documents of each class that the machine is trained on, at most.
 SAMPLE = 5000
-BUCKETS, FEATURES, FACTORS = 1 << 18, 1500, 4
+BUCKETS, FEATURES, FACTORS = 1 << 18, 600, 4
 #: Word beginnings that are terms too, by length.
 STEMS = (4, 5, 6)
+#: A beginning is another term if this many different words share it.
+SHARED_BY = (2, 3, 5)
 FOLDS = 5
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -54,7 +56,11 @@ class TermBuckets:
     def __call__(self, text: str) -> np.ndarray:
         lowered = text.lower() if text.isascii() else text.translate(_LOWER)
         words = set(WORD.findall(lowered))
-        return np.unique(np.fromiter((b for w in words for b in self.of_word(w)), dtype=np.int64))
+        buckets, words_of = np.unique(
+            np.fromiter((b for w in words for b in self.of_word(w)), dtype=np.int64), return_counts=True
+        )
+        shared = [(buckets[words_of >= n] * 40503 + n) % BUCKETS for n in SHARED_BY]
+        return np.unique(np.concatenate([buckets, *shared]))
 
 
 class FactorizationMachine:
@@ -89,7 +95,7 @@ def chosen_buckets(rows: list[np.ndarray], toxic: np.ndarray, features: int = FE
 
 
 def train_machine(
-    rows: list[np.ndarray], toxic: np.ndarray, share: float, rounds: int = 150, rate: float = 0.05
+    rows: list[np.ndarray], toxic: np.ndarray, share: float, rounds: int = 150, rate: float = 0.1
 ) -> FactorizationMachine:
     """Fit by gradient steps (Adam) with a ridge; ``share`` of toxic rows is what the scores are set to."""
     buckets = chosen_buckets(rows, toxic)
@@ -108,7 +114,7 @@ def train_machine(
     bias = float(np.log((share + 1e-4) / (1 - share + 1e-4)))
     theta = np.concatenate([[bias], np.zeros(width), 0.01 * rng.standard_normal(width * FACTORS)]).astype(np.float32)
     m, s = np.zeros_like(theta), np.zeros_like(theta)
-    ridge = np.concatenate([[0.0], np.full(width, 3e-5), np.full(width * FACTORS, 3e-4)]).astype(np.float32)
+    ridge = np.concatenate([[0.0], np.full(width, 1e-5), np.full(width * FACTORS, 1e-4)]).astype(np.float32)
     for step in range(1, rounds + 1):
         w, v = theta[1 : 1 + width], theta[1 + width :].reshape(width, FACTORS)
         sums = x @ v
