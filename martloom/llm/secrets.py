@@ -69,7 +69,8 @@ def _piece(kind: str, ratios: list[float], margin: float) -> Callable[[Column, C
 def _matches(text: Column, kind: str) -> Column:
     """Every match with the text before it since the last one, as strings."""
     pattern = _pattern(kind)
-    every = F.regexp_extract_all(text, F.lit(rf"(?s).*?(?:{pattern})"), F.lit(0))
+    # \G ties each try to the end of the last match; else every place after it would be tried to the text's end.
+    every = F.regexp_extract_all(text, F.lit(rf"\G(?s).*?(?:{pattern})"), F.lit(0))
     return F.when(text.rlike(_quick(kind)), every).otherwise(F.array().cast("array<string>"))
 
 
@@ -144,6 +145,7 @@ def secret_spans(docs: DataFrame, sample: int = SAMPLE, margin: float = MARGIN)
     doc_id, text_hash, found: array of (start, kind, end), kind by its place in
     ``KINDS``, in order. Null text is empty.
     """
+    docs = docs.select("doc_id", "text")
     ratios = log_ratios(docs, sample)
     text = F.coalesce("text", F.lit(""))
     pieces = []
