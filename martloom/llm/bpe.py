@@ -62,9 +62,9 @@ def cut_places(data: bytes) -> list[int]:
     if len(a) <= HASHED + 1:
         return []
     places = np.flatnonzero((a[HASHED:-1] == 32) & (a[HASHED - 1 : -2] > 32) & (a[HASHED + 1 :] > 32)) + HASHED
-    # An ASCII letter on both sides keeps clear of white space and marks outside ASCII.
+    # An ASCII letter or digit on both sides keeps clear of white space and marks outside ASCII.
     letter = np.zeros(256, dtype=bool)
-    letter[65:91] = letter[97:123] = True
+    letter[48:58] = letter[65:91] = letter[97:123] = True
     places = places[letter[a[places - 1]] & letter[a[places + 1]]]
     rolled = np.zeros(len(places), dtype=np.uint32)
     for back in range(HASHED, 0, -1):

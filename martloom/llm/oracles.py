@@ -1,3 +1,59 @@
-"""SQL of the queries that SQL can express."""
+"""SQL (DuckDB) of the queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The others rest on trained models, XXH64, BPE or voting; their tests compare them
+with plain versions instead.
+"""
+
+from __future__ import annotations
+
+import string
+
+_NORMAL = rf"""regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_PLAIN = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_DECONTAMINATION = f"""
+with item_words as (select item_id, {_NORMAL} as words from benchmark),
+grams as (
+  select distinct item_id, least(13, len(words)) as size, array_to_string(words[i : i + 12], ' ') as gram
+  from (select item_id, words, unnest(range(1, greatest(1, len(words) - 12) + 1)) as i from item_words where len(words) > 0) x),
+doc_words as (select doc_id, {_NORMAL} as words from documents),
+places as (
+  select doc_id, words, size, unnest(range(1, len(words) - size + 2)) as i
+  from doc_words cross join (select distinct size from grams) sizes where len(words) >= size),
+hits as (
+  select doc_id, i, p.size, item_id from places p
+  join grams g on g.size = p.size and g.gram = array_to_string(words[i : i + p.size - 1], ' ')),
+hit_words as (select doc_id, count(distinct place) as n_hit
+  from (select doc_id, unnest(range(i, i + size)) as place from hits) h group by doc_id),
+hit_items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) h group by doc_id)
+select d.doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+from doc_words d left join hit_words using (doc_id) left join hit_items using (doc_id)"""
+
+
+def _without_repeats(window: int) -> str:
+    return f"""
+with doc_words as (select doc_id, {_PLAIN} as words from documents),
+tokens as (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from doc_words),
+grams as (
+  select doc_id, place, string_agg(word, ' ') over ahead as gram, count(*) over ahead as n from tokens
+  window ahead as (partition by doc_id order by place rows between current row and {window - 1} following)),
+ordered as (
+  select doc_id, place, row_number() over (partition by gram order by doc_id, place) as rn from grams where n = {window}),
+gone as (select distinct doc_id, unnest(range(place, place + {window})) as place from ordered where rn > 1),
+kept as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by place) as text
+  from tokens anti join gone using (doc_id, place) group by doc_id)
+select d.doc_id, cast(len(words) as bigint) as n_words, len(words) - coalesce(n, 0) as n_removed,
+  sha256(coalesce(text, '')) as kept_sha256
+from doc_words d left join kept using (doc_id)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_benchmark_decontamination": _DECONTAMINATION,
+    "op2_substring_dedup": _without_repeats(20),
+    "op4_suffix_array_dedup": _without_repeats(50),
+}
