@@ -8,6 +8,8 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 
 @dataclass(frozen=True)
 class Metric:
@@ -48,33 +50,45 @@ def aggregate_packed(
     metrics: Sequence[Metric],
     finish: Mapping[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
-    """One row per key with all metrics, in one aggregation and one exchange.
+    """One row per key with all metrics.
+
+    Rows are first combined per key and ``packed`` flags into one sum, count and maximum
+    per value. Those narrow rows are what is exchanged - a hot or NULL key leaves each
+    task as one row per set of flags - and all metrics of a key are then derived from
+    them in place. A single aggregate would exchange a buffer of all metrics for nearly
+    every row, where a task holds few rows of a key.
 
-    A metric's condition is one mask test on the ``packed`` column whatever the number
-    of its flags, which keeps the generated code of a wide aggregate small enough to
-    be compiled. ``finish`` maps a value column to a function of its aggregate (a unit
-    conversion done once per group).
+    A metric's condition is one mask test whatever the number of its flags, which keeps
+    the generated code of a wide aggregate small enough to be compiled. ``finish`` maps
+    a value column to a function of its aggregate (a unit conversion done once per group).
     """
     finish = finish or {}
+    first = {"count": F.sum, "total": F.sum, "peak": F.max, "latest": F.max}
+    for metric in metrics:
+        if metric.how not in first:
+            raise ValueError(f"unknown aggregate {metric.how!r}")
 
-    def holds(metric: Metric) -> Column:
-        mask = F.lit(sum(bits[f] for f in metric.when)).cast("bigint")
-        return F.col(packed).bitwiseAND(mask) == mask
+    def part(metric: Metric) -> str:
+        if metric.how == "count":
+            return "_rows"
+        return f"_{'sum' if metric.how == 'total' else 'max'}_{metric.value}"
+
+    parts = {part(m): first[m.how](m.value) for m in metrics if m.how != "count"}
+    narrow = (
+        rows.groupBy(*keys, packed)
+        .agg(F.count("*").alias("_rows"), *[c.alias(n) for n, c in parts.items()])
+        .repartition(*keys)
+    )
 
     def combine(metric: Metric) -> Column:
-        if metric.how == "count":
-            out = F.count_if(holds(metric))
-        elif metric.how == "total":
-            out = F.sum(F.when(holds(metric), F.col(metric.value)).otherwise(0))
-        elif metric.how == "peak":
-            out = F.max(F.when(holds(metric), F.col(metric.value)).otherwise(0))
-        elif metric.how == "latest":
-            out = F.max(F.when(holds(metric), F.col(metric.value)))
-        else:
-            raise ValueError(f"unknown aggregate {metric.how!r}")
-        return finish.get(metric.value, lambda c: c)(out).alias(metric.name)
+        mask = F.lit(sum(bits[f] for f in metric.when)).cast("bigint")
+        value = F.when(F.col(packed).bitwiseAND(mask) == mask, F.col(part(metric)))
+        if metric.how != "latest":
+            # A value may be NULL on all rows of some flags; the metric is 0 only if no row qualifies.
+            value = value.otherwise(F.lit(0))
+        return finish.get(metric.value, lambda c: c)(first[metric.how](value)).alias(metric.name)
 
-    return rows.groupBy(*keys).agg(*[combine(m) for m in metrics])
+    return narrow.groupBy(*keys).agg(*[combine(m) for m in metrics])
 
 
 def conditional_metrics(
@@ -92,14 +106,36 @@ def conditional_metrics(
     return aggregate_packed(rows, keys, "_flags", bits, metrics, finish)
 
 
-def cents(amount: Column) -> Column:
-    """Money with two decimals as a bigint number of cents.
+@dataclass(frozen=True)
+class Amount:
+    """A numeric column in the form that adds up exactly: ``units`` of 10**-``scale``."""
+
+    units: Column
+    scale: int
 
-    Sums of longs stay in the fixed-width fast path of the hash aggregate; sums of
-    wide decimals do not. An overflow raises under ANSI mode, it cannot wrap.
-    """
-    return (amount * 100).cast("bigint")
+    def total(self, units: Column) -> Column:
+        """A sum (or peak) of units as an amount; its fraction has the column's own digits."""
+        if not self.scale:
+            return units
+        one = F.lit(Decimal(1).scaleb(-self.scale))
+        return (units.cast("decimal(20,0)") * one).cast(f"decimal(28,{self.scale})")
 
+    def per(self, units: Column, parts: int) -> Column:
+        """A sum of units in another unit of measure, divided once."""
+        return self.total(units).cast("double") / parts
 
-def money(total_cents: Column) -> Column:
-    return (total_cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(28,2)")
+
+def exact(df: DataFrame, column: Column) -> Amount:
+    """``column`` of ``df`` for summing without loss, whatever its numeric type.
+
+    Whole numbers and decimals of up to four digits after the point become longs, whose
+    sums stay in the fixed-width fast path of the hash aggregate and raise on overflow
+    under ANSI mode. Decimals of more digits are summed as they are. Floating-point
+    input, which has no exact decimal form, is rounded to a millionth once.
+    """
+    kind = df.select(column).schema[0].dataType
+    if isinstance(kind, T.DecimalType) and kind.scale <= 4:
+        return Amount((column * 10**kind.scale).cast("bigint"), kind.scale)
+    if isinstance(kind, T.IntegralType):
+        return Amount(column.cast("bigint"), 0)
+    return Amount(column if isinstance(kind, T.DecimalType) else column.cast("decimal(28,6)"), 0)

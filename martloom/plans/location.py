@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from martloom.functions.dates import as_date, day_literal, days_ago, trailing
 from martloom.functions.text import clean_id
 from martloom.operators.horizons import day_marks, days_seen, sum_within, unpivot_horizons
 from martloom.operators.joins import unique_lookup
+from martloom.operators.kpi import Amount, exact
 from martloom.operators.ranking import newest, ranked
 
 SUBSCRIBER = ["subs_key", "ban_key"]
@@ -33,18 +34,22 @@ def billable_home_traffic() -> Column:
 def usage_hourly(det_layer: DataFrame) -> DataFrame:
     """Calls, minutes and megabytes per day, hour, subscriber, account and cell.
 
-    Seconds and bytes are summed as integers and divided once per group, so the
-    result does not depend on the order in which tasks add up.
+    Seconds and bytes are summed exactly, whatever their numeric type, and divided once
+    per group, so the result does not depend on the order in which tasks add up. The
+    undivided sums are columns too; later sums start from them. Identifiers of over 18
+    digits are no numbers here: such a cell is NULL.
     """
-    seconds = F.col("actual_call_duration_sec").cast("bigint")
+    seconds = exact(det_layer, F.col("actual_call_duration_sec"))
+    volume = exact(det_layer, F.col("rounded_data_volume"))
 
     def voice(direction: str) -> Column:
         return (F.col("call_type_code") == "V") & (F.col("call_direction_ind") == direction)
 
-    def total(condition: Column, value: Column) -> Column:
-        return F.sum(F.when(condition, value).otherwise(F.lit(0).cast("bigint")))
+    def total(condition: Column, amount: Amount) -> Column:
+        return F.sum(F.when(condition, amount.units).otherwise(F.lit(0)))
 
-    is_data = F.col("call_type_code") == "G"
+    out, into = total(voice("2"), seconds), total(voice("1"), seconds)
+    transferred = total(F.col("call_type_code") == "G", volume)
     return (
         det_layer.filter(billable_home_traffic())
         .groupBy(
@@ -57,29 +62,33 @@ def usage_hourly(det_layer: DataFrame) -> DataFrame:
         .agg(
             F.count_if(voice("2")).alias("call_out_amt"),
             F.count_if(voice("1")).alias("call_in_amt"),
-            (total(voice("2"), seconds) / 60).alias("call_out_duration_min"),
-            (total(voice("1"), seconds) / 60).alias("call_in_duration_min"),
-            (total(is_data, F.col("rounded_data_volume").cast("bigint")) / _MEGABYTE).alias(
-                "data_vlm_mb"
-            ),
+            seconds.per(out, 60).alias("call_out_duration_min"),
+            seconds.per(into, 60).alias("call_in_duration_min"),
+            volume.per(transferred, _MEGABYTE).alias("data_vlm_mb"),
+            seconds.total(out).alias("call_out_sec"),
+            seconds.total(into).alias("call_in_sec"),
+            volume.total(transferred).alias("data_bytes"),
         )
     )
 
 
-# Integer counters of one usage row. Minutes and megabytes were divided once from
-# integers, so rounding the product gives those integers back exactly.
+# Counters of one usage row, by the hourly mart's columns.
 _COUNTERS = {
-    "_out": "cast(call_out_amt as bigint)",
-    "_in": "cast(call_in_amt as bigint)",
-    "_out_sec": "cast(round(call_out_duration_min * 60) as bigint)",
-    "_in_sec": "cast(round(call_in_duration_min * 60) as bigint)",
-    "_bytes": f"cast(round(data_vlm_mb * {_MEGABYTE}) as bigint)",
+    "_out": "call_out_amt",
+    "_in": "call_in_amt",
+    "_out_sec": "call_out_sec",
+    "_in_sec": "call_in_sec",
+    "_bytes": "data_bytes",
 }
 _TOTALS = (*_COUNTERS, "_voice_low", "_voice_high", "_bytes_known")
 
 
 def _wide_region_usage(
-    usage: DataFrame, cells: DataFrame, as_of: date | str, horizons: Sequence[int]
+    usage: DataFrame,
+    cells: DataFrame,
+    as_of: date | str,
+    horizons: Sequence[int],
+    amounts: Mapping[str, Amount],
 ) -> DataFrame:
     """One row per subscriber, account and region with every horizon's exact totals."""
     span = max(horizons)
@@ -88,7 +97,7 @@ def _wide_region_usage(
         "period",
         F.col("lac").cast("bigint").alias("lac"),
         F.col("cell_id").cast("bigint").alias("cell_id"),
-        *[F.expr(e).alias(n) for n, e in _COUNTERS.items()],
+        *[amounts[n].units.alias(n) for n in _COUNTERS],
     )
     placed = recent.join(
         unique_lookup(cells, ["lac", "cell_id"], "region", "cell_nettype"), ["lac", "cell_id"], "left"
@@ -96,7 +105,7 @@ def _wide_region_usage(
     # Seconds by the rate they are weighted with; equivalent_rate is the one rule.
     rate = equivalent_rate(F.col("cell_nettype"))
     spoken = F.col("_out_sec") + F.col("_in_sec")
-    zero = F.lit(0).cast("bigint")
+    zero = F.lit(0)
     rows = placed.select(
         *SUBSCRIBER,
         "region",
@@ -105,7 +114,7 @@ def _wide_region_usage(
         F.when(rate == 20.0, spoken).otherwise(zero).alias("_voice_low"),
         F.when(rate == 21.4, spoken).otherwise(zero).alias("_voice_high"),
         F.when(rate.isNotNull(), F.col("_bytes")).otherwise(zero).alias("_bytes_known"),
-        F.when(rate.isNotNull(), F.lit(1).cast("bigint")).otherwise(zero).alias("_known"),
+        F.when(rate.isNotNull(), F.lit(1)).otherwise(zero).cast("bigint").alias("_known"),
     )
     age = F.col("_age")
     return rows.groupBy(*SUBSCRIBER, "region").agg(
@@ -129,7 +138,8 @@ def usage_by_region(
     """
     as_of = as_date(as_of)
     span = max(horizons)
-    wide = _wide_region_usage(usage, cells, as_of, horizons)
+    amounts = {n: exact(usage, F.col(c)) for n, c in _COUNTERS.items()}
+    wide = _wide_region_usage(usage, cells, as_of, horizons, amounts)
     names = ("uniq_days_amt", *_TOTALS, "_known")
 
     def at(horizon: int, name: str) -> Column:
@@ -144,9 +154,9 @@ def usage_by_region(
         .select(*SUBSCRIBER, "region", "_h.*")
         .filter(F.col("uniq_days_amt") > 0)
     )
-    equivalent = (
-        F.col("_voice_low") * 20.0 + F.col("_voice_high") * 21.4
-    ) / 8192 + F.col("_bytes_known") / _MEGABYTE
+    seconds, volume = amounts["_out_sec"], amounts["_bytes"]
+    low, high = (seconds.per(F.col(c), 1) for c in ("_voice_low", "_voice_high"))
+    equivalent = (low * 20.0 + high * 21.4) / 8192 + volume.per(F.col("_bytes_known"), _MEGABYTE)
     return long.select(
         "horizon",
         day_literal(as_of).alias("calc_date"),
@@ -155,9 +165,9 @@ def usage_by_region(
         "uniq_days_amt",
         F.col("_out").alias("call_out_amt"),
         F.col("_in").alias("call_in_amt"),
-        (F.col("_in_sec") / 60).alias("call_in_duration_min"),
-        (F.col("_out_sec") / 60).alias("call_out_duration_min"),
-        (F.col("_bytes") / _MEGABYTE).alias("data_vlm_mb"),
+        seconds.per(F.col("_in_sec"), 60).alias("call_in_duration_min"),
+        seconds.per(F.col("_out_sec"), 60).alias("call_out_duration_min"),
+        volume.per(F.col("_bytes"), _MEGABYTE).alias("data_vlm_mb"),
         F.when(F.col("_known") > 0, equivalent).alias("voice_gprs_mrg_mb"),
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,7 @@ from martloom.functions.classify import home_network
 from martloom.functions.dates import as_date, day_literal
 from martloom.functions.text import clean_id
 from martloom.operators.joins import role_lookup, unique_lookup
-from martloom.operators.kpi import Metric, aggregate_packed, bit_positions, cents, money, pack
+from martloom.operators.kpi import Amount, Metric, aggregate_packed, bit_positions, exact, pack
 from martloom.plans.recharge import is_topup
 
 KEYS = ["subs_key", "ban_key", "period"]
@@ -205,22 +205,27 @@ def _cell_flags() -> dict[str, Column]:
     }
 
 
-# Money in cents and counters as integers, so that sums are exact in any order.
-_VALUES = {
-    "revenue": lambda: cents(F.col("charge_amt") + F.col("vat_amt")),
-    "turnover": lambda: F.abs(cents(F.col("charge_amt") + F.col("vat_amt"))),
-    "recharge": lambda: cents(F.col("recharge_amt")),
-    "seconds": lambda: F.col("actual_call_duration_sec").cast("bigint"),
-    "bytes": lambda: F.col("rounded_data_volume").cast("bigint"),
-    "call_start_time": lambda: F.col("call_start_time"),
-}
-_FINISH = {
-    "revenue": money,
-    "turnover": money,
-    "recharge": money,
-    "seconds": lambda total: total / 60,
-    "bytes": lambda total: total / 1048576,
-}
+def _amounts(fact: DataFrame) -> dict[str, Amount]:
+    """What is summed, exactly in any order."""
+    charge = F.col("charge_amt") + F.col("vat_amt")
+    return {
+        "revenue": exact(fact, charge),
+        "turnover": exact(fact, F.abs(charge)),
+        "recharge": exact(fact, F.col("recharge_amt")),
+        "seconds": exact(fact, F.col("actual_call_duration_sec")),
+        "bytes": exact(fact, F.col("rounded_data_volume")),
+    }
+
+
+# Seconds in a minute and bytes in a megabyte.
+_PARTS = {"seconds": 60, "bytes": 1048576}
+
+
+def _finish(amounts: Mapping[str, Amount]) -> dict[str, Callable[[Column], Column]]:
+    def of(name: str, amount: Amount) -> Callable[[Column], Column]:
+        return (lambda total: amount.per(total, _PARTS[name])) if name in _PARTS else amount.total
+
+    return {name: of(name, amount) for name, amount in amounts.items()}
 
 
 def _with_service(fact: DataFrame, inputs: Mapping[str, DataFrame]) -> DataFrame:
@@ -329,7 +334,9 @@ def profile(
     as_of = as_date(as_of)
     metrics = [m for family in families for m in FAMILIES[family]]
     bits = bit_positions(metrics)
-    values = {m.value: _VALUES[m.value]() for m in metrics if m.value}
+    amounts = _amounts(inputs["det_layer"])
+    sources = {n: a.units for n, a in amounts.items()} | {"call_start_time": F.col("call_start_time")}
+    values = {m.value: sources[m.value] for m in metrics if m.value}
     lookups = [entry for entry in _lookups(mfs_services) if bits.keys() & entry[2].keys()]
     started = F.col("call_start_time")
     in_window = (started >= day_literal(as_of - timedelta(days=days_back))) & (
@@ -352,5 +359,5 @@ def profile(
         rows = join(rows, inputs)
         packed = packed.bitwiseOR(pack(flags, bits))
     narrow = rows.select(*KEYS, packed.alias("_flags"), *values)
-    out = aggregate_packed(narrow, KEYS, "_flags", bits, metrics, _FINISH)
+    out = aggregate_packed(narrow, KEYS, "_flags", bits, metrics, _finish(amounts))
     return out.withColumn("calc_date", day_literal(as_of))

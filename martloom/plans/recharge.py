@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import as_date, day_literal, trailing
 from martloom.operators.joins import unique_lookup
-from martloom.operators.kpi import cents, money
+from martloom.operators.kpi import exact
 from martloom.operators.horizons import sum_within, unpivot_horizons
 from martloom.operators.ranking import newest, ranked
 
@@ -45,6 +45,7 @@ def recharge_by_source(
     """
     as_of = as_date(as_of)
     span = max(horizons)
+    amount = exact(det_layer, F.col("recharge_amt"))
     sources = unique_lookup(
         classification.filter(F.col("target_table_name") == TOPUP_TARGET),
         ["mtr_classification_key", "parent_mtr_key"],
@@ -58,7 +59,7 @@ def recharge_by_source(
             *SUBSCRIBER,
             "mtr_classification_key",
             "parent_mtr_key",
-            cents(F.col("recharge_amt")).alias("_cents"),
+            amount.units.alias("_units"),
             F.datediff(day_literal(as_of), F.to_date("call_start_time")).alias("_age"),
         )
         .join(sources, ["mtr_classification_key", "parent_mtr_key"])
@@ -66,10 +67,10 @@ def recharge_by_source(
     age = F.col("_age")
     one = F.lit(1).cast("bigint")
     wide = topups.groupBy(*SUBSCRIBER, F.col("description").alias("rech_src_desc")).agg(
-        *[sum_within(age, h, F.col("_cents")).alias(f"_cents@{h}") for h in horizons],
+        *[sum_within(age, h, F.col("_units")).alias(f"_units@{h}") for h in horizons],
         *[sum_within(age, h, one).alias(f"rech_count@{h}") for h in horizons],
     )
-    names = ("_cents", "rech_count")
+    names = ("_units", "rech_count")
     long = (
         wide.select(
             *SUBSCRIBER,
@@ -81,12 +82,12 @@ def recharge_by_source(
         .select(*SUBSCRIBER, "rech_src_desc", "_h.*")
         .filter(F.col("rech_count") > 0)
     )
-    order = [*newest("_cents", "rech_count"), F.col("rech_src_desc").asc()]
+    order = [*newest("_units", "rech_count"), F.col("rech_src_desc").asc()]
     return ranked(long, ["horizon", *SUBSCRIBER], order).select(
         "horizon",
         *SUBSCRIBER,
         "rech_src_desc",
-        money(F.col("_cents")).alias("total_rech_amt"),
+        amount.total(F.col("_units")).alias("total_rech_amt"),
         "rech_count",
         "rn",
     )
