@@ -2,40 +2,50 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from collections.abc import Callable
 from datetime import date
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
+from martloom.functions.dates import as_date
 from martloom.sources.readers import ddmmyyyy, mm_yyyy
 
 _SETTING = "spark.checkpoint.dir"
 
-
-@lru_cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="martloom-")
+_owned: list[Callable[[SparkSession], object]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, named by ``spark.checkpoint.dir``.
-
-    Where it is unset a temporary folder is used in local mode only; on a cluster a
-    folder of one machine would be wrong, so that is an error.
-    """
-    folder = spark.conf.get(_SETTING, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder shared by the cluster")
-        folder = _local_folder()
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the session's warehouse."""
+    folder = spark.conf.get(_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")
     return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared one. It is the process's own and removed when that ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    at_end(lambda session: _delete(session, path))
+    return path
+
+
+def at_end(remove: Callable[[SparkSession], object]) -> None:
+    """Have something of the process's own removed when it ends, or earlier by ``remove_owned``."""
+    if not _owned:
+        atexit.register(remove_owned)
+    _owned.append(remove)
+
+
+def remove_owned() -> None:
+    """Remove what ``at_end`` was told, last first, while a session is there to do it."""
+    spark = SparkSession.getActiveSession()
+    while spark is not None and _owned:
+        _owned.pop()(spark)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def evenly(df: DataFrame, *columns: str) -> DataFrame:
@@ -69,8 +79,9 @@ def overwrite_dates(df: DataFrame, base: str, column: str = "dt") -> None:
 
 
 def overwrite_date(df: DataFrame, base: str, day: date | str, column: str = "dt") -> None:
-    """Replace one run date. A rerun gives the same files; history is kept."""
-    overwrite_dates(df.withColumn(column, F.lit(day).cast("date")), base, column)
+    """Replace one run date, also by no rows at all. A rerun gives the same files; history is kept."""
+    folder = f"{base.rstrip('/')}/{column}={as_date(day).isoformat()}"
+    evenly(df.drop(column)).write.mode("overwrite").parquet(folder)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

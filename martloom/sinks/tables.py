@@ -33,7 +33,7 @@ def create_external_table(
 
 
 def insert_dates(df: DataFrame, table: str, partition: str) -> None:
-    """Replace the partitions that occur in ``df`` in an existing table."""
+    """Replace the partitions that occur in ``df`` in an existing table; ``swap_partition`` replaces one named day, also by no rows."""
     spark = df.sparkSession
     names = spark.table(table).columns
     (
@@ -60,10 +60,11 @@ def add_partition(
 def swap_partition(
     df: DataFrame, table: str, column: str, value: str, location: str
 ) -> None:
-    """Point a partition at newly written files.
+    """Point a partition at newly written files, which may hold no rows.
 
-    The files are complete before the catalog changes, so a reader sees the old
-    partition or the new one. ``location`` must be new.
+    The files are complete before the catalog changes, and that is one change of the
+    partition's location (or its addition), so a reader sees the old partition or the
+    new one and a failure leaves the old one. ``location`` must be new.
     """
     spark = df.sparkSession
     stored = [c for c in spark.table(table).columns if c != column]
@@ -72,8 +73,11 @@ def swap_partition(
     df.select(*[F.col(c).cast(kind[c]) for c in stored]).write.format(provider).mode(
         "errorifexists"
     ).save(location)
-    drop_partition(spark, table, column, value)
-    add_partition(spark, table, column, value, location)
+    one = f"PARTITION (`{column}`='{value}')"
+    if spark.sql(f"SHOW PARTITIONS {table} {one}").isEmpty():
+        add_partition(spark, table, column, value, location)
+    else:
+        spark.sql(f"ALTER TABLE {table} {one} SET LOCATION '{location}'")
 
 
 def table_format(spark: SparkSession, table: str) -> str:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martloom.functions.dates import as_date, day_literal
 
@@ -54,8 +54,20 @@ def read_dated(
 ) -> DataFrame:
     """A ``dt=`` partitioned dataset, optionally only the days ``first`` to ``last``.
 
-    The bounds are on the partition column, so other days are never listed or read.
+    With both bounds only the wanted days' folders are opened: the base folder's names
+    are matched, other days' files are neither listed nor read. With one bound all days
+    are listed and the partition filter keeps the others from being read. If none of
+    the wanted days is there, the result has the dataset's columns and no rows.
     """
+    base = base.rstrip("/")
+    if first is not None and last is not None:
+        count = (as_date(last) - as_date(first)).days + 1
+        wanted = ",".join(str(as_date(first) + timedelta(days=i)) for i in range(count))
+        try:
+            return spark.read.option("basePath", base).parquet(f"{base}/{column}={{{wanted}}}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     df = spark.read.parquet(base)
     if first is not None:
         df = df.filter(F.col(column) >= day_literal(first))
@@ -87,6 +99,8 @@ def read_snapshot_folder(
 def read_csv_dimension(
     spark: SparkSession, path: str, columns: Sequence[str], separator: str = ";"
 ) -> DataFrame:
-    """A delimited file with a header; every column stays text, nothing is inferred."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.csv(path, schema=schema, sep=separator, header=True)
+    """The named columns of a delimited file with a header, whatever else it has and in what order.
+
+    Every column stays text, nothing is inferred; a name that the header lacks is an error.
+    """
+    return spark.read.csv(path, sep=separator, header=True).select(*columns)
