@@ -36,8 +36,10 @@ def drop_head(col: Column, count: int = 2) -> Column:
 
 
 def first_part(col: Column, separator: str) -> Column:
-    """The first run of characters that holds no ``separator``."""
-    return F.regexp_extract(col, f"([^{separator}]+)", 1)
+    """The first run of characters that holds no ``separator``, which is one character."""
+    if len(separator) != 1:
+        raise ValueError("a separator is one character")
+    return F.regexp_extract(col, f"([^\\{separator}]+)" if not separator.isalnum() else f"([^{separator}]+)", 1)
 
 
 def joined(*parts: Column | str) -> Column:

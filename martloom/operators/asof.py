@@ -7,8 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.operators.joins import unique_lookup
-
 
 def prior_record(
     records: DataFrame,
@@ -27,38 +25,58 @@ def prior_record(
     A plain ``lag`` over ``key`` would sort a hot key in one task, so the order axis
     is cut into blocks of ``block`` values. Inside (key, block) - at most ``block``
     rows, as ``order`` is unique - ``lag`` answers every row but the first. The first
-    rows take their answer from the last record of the previous non-empty block of
-    the key, found by a second ``lag`` over one row per block.
+    row takes the last record of the key's previous non-empty block, which is the same
+    question asked of one row per block, and is answered the same way with blocks of
+    blocks. Whatever the number of a key's records, a window holds at most ``block`` of
+    them, and the last one a row for every 2**40 order values.
     """
+    if block < 2:
+        raise ValueError("a block holds at least two values")
     columns = {name: F.col(source) for name, source in payload.items()}
     named = records.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_key"),
-        F.col(order).alias("_order"),
-        (F.col(order) - F.pmod(F.col(order), F.lit(block))).alias("_block"),
+        F.col(order).cast("bigint").alias("_order"),
         F.struct(*[c.alias(n) for n, c in columns.items()]).alias("_row"),
     )
-    # Rows that arrive partitioned by the key alone (from a join on it) would satisfy the
-    # window below as they are and leave a hot key in one task, so the exchange by block
-    # is explicit. It is the only one, and both branches below read it.
-    named = named.repartition("_key", "_block")
+    kind = records.schema[order].dataType
+    return _with_previous(named, block).select(
+        F.col("_order").cast(kind).alias(order), *[F.col("_prior")[n].alias(n) for n in columns]
+    )
+
+
+#: Blocks this wide are few enough to be one window: 2**24 for all 64-bit order values.
+_WIDE = 1 << 40
+
+
+def _with_previous(rows: DataFrame, block: int, width: int = 1) -> DataFrame:
+    """``rows`` (_key, _order, _row) with _prior: the row of the key's next smaller _order.
+
+    The _order values are multiples of ``width``.
+    """
+    span = width * block
+    in_key = Window.partitionBy("_key").orderBy("_order")
+    if width >= _WIDE:
+        return rows.select("_key", "_order", F.lag("_row").over(in_key).alias("_prior"))
+    # Rows that arrive partitioned by the key alone would satisfy the window below as they
+    # are and leave a hot key in one task, so the exchange by block is explicit. The rows
+    # and their blocks' last rows both come from it.
+    start = (F.col("_order") - F.pmod(F.col("_order"), F.lit(span))).alias("_block")
+    blocks = rows.select("_key", "_order", "_row", start).repartition("_key", "_block")
     in_block = Window.partitionBy("_key", "_block").orderBy("_order")
-    whole_block = in_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = named.select(
+    local = blocks.select(
         "_key",
-        "_order",
         "_block",
-        F.lag("_row").over(in_block).alias("_prior"),
+        "_order",
+        F.lag("_row").over(in_block).alias("_near"),
         F.row_number().over(in_block).alias("_place"),
-        F.last("_row").over(whole_block).alias("_last"),
-    )
-    by_block = Window.partitionBy("_key").orderBy("_block")
-    heads = local.filter(F.col("_place") == 1).select(
-        "_order", F.lag("_last").over(by_block).alias("_prior")
     )
-    rest = local.filter(F.col("_place") > 1).select("_order", "_prior")
-    return heads.unionByName(rest).select(
-        F.col("_order").alias(order), *[F.col("_prior")[n].alias(n) for n in columns]
+    lasts = blocks.groupBy("_key", "_block").agg(F.max_by("_row", "_order").alias("_row"))
+    carried = _with_previous(lasts.withColumnRenamed("_block", "_order"), block, span).select(
+        F.col("_key").alias("_carry_key"), F.col("_order").alias("_carry_block"), F.col("_prior").alias("_far")
     )
+    head = (F.col("_place") == 1) & (F.col("_key") == F.col("_carry_key")) & (F.col("_block") == F.col("_carry_block"))
+    prior = F.when(F.col("_place") == 1, F.col("_far")).otherwise(F.col("_near")).alias("_prior")
+    return local.join(carried, head, "left").select("_key", "_order", prior)
 
 
 def with_prior(
@@ -71,7 +89,7 @@ def with_prior(
 ) -> DataFrame:
     """Left rows that refer to records by ``order``, with each record's predecessor.
 
-    Only records of the keys present on the left are read into the window.
+    The left side, often a long derivation, is used once: predecessors are found for all
+    records, on narrow rows, and not only for keys that the left side would have to name.
     """
-    pool = records.join(unique_lookup(left, [key]), key, "left_semi")
-    return left.join(prior_record(pool, key, order, payload, block), order, "left")
+    return left.join(prior_record(records, key, order, payload, block), order, "left")

@@ -21,8 +21,9 @@ from martloom.functions.dates import day_literal
 def unique_lookup(dim: DataFrame, keys: Sequence[str], *payload: str) -> DataFrame:
     """One row per key, so that a left join to it can never repeat a fact row.
 
-    Among rows of one key the one with the greatest payload stays. NULL keys can
-    match nothing and are dropped.
+    Among rows of one key the one with the greatest payload stays, its columns compared
+    one after the other and NULL less than any value; for one column this is its
+    maximum. NULL keys can match nothing and are dropped.
 
     The hash of the key among the grouping columns changes no group. It makes the
     aggregate's partitioning differ from the join's, so a shuffled join reads both
@@ -36,8 +37,6 @@ def unique_lookup(dim: DataFrame, keys: Sequence[str], *payload: str) -> DataFra
     groups = known.groupBy(*keys, F.hash(*keys).alias("_spread"))
     if not payload:
         return groups.agg(F.lit(1)).select(*keys)
-    if len(payload) == 1:
-        return groups.agg(F.max(payload[0]).alias(payload[0])).select(*keys, *payload)
     best = groups.agg(F.max(F.struct(*payload)).alias("_row"))
     return best.select(*keys, *[F.col("_row")[p].alias(p) for p in payload])
 
@@ -86,26 +85,24 @@ def first_match(
 ) -> DataFrame:
     """The first of several candidate columns whose trimmed value is a known key.
 
-    The candidates become rows, so one narrow inner join replaces a left join per
-    candidate: NULL candidates leave before the exchange, and a row key has at most
-    ``len(candidates)`` rows to pick from. ``row_key`` must be unique in ``df``.
+    The candidates become rows, so one join replaces a left join per candidate. The rows
+    carry what ``df`` has and are put together again by ``row_key``, which must be unique
+    in ``df`` and not NULL, so ``df`` itself is computed once.
     """
-    keys = known.select(F.trim(known_key).alias("_key"))
-    options = F.array(
-        *[
-            F.struct(F.lit(i).alias("place"), F.trim(F.col(c)).alias("value"))
-            for i, c in enumerate(candidates)
-        ]
-    )
-    tries = df.select(row_key, F.explode(options).alias("_try")).select(
-        row_key, F.col("_try.place").alias("_place"), F.col("_try.value").alias("_key")
-    )
-    hits = (
-        tries.join(keys, "_key", "left_semi")
-        .groupBy(row_key)
-        .agg(F.min_by("_key", "_place").alias(out))
+    keys = known.select(F.trim(known_key).alias("_known_key")).distinct()
+    tries = df.select(
+        F.struct(*df.columns).alias("_row"),
+        F.posexplode(F.array(*[F.trim(F.col(c)) for c in candidates])).alias("_place", "_try"),
+    ).select("_row", F.col(f"_row.{row_key}").alias("_row_key"), "_place", "_try")
+    best = (
+        tries.join(keys, F.col("_try") == F.col("_known_key"), "left")
+        .groupBy("_row_key")
+        .agg(
+            F.any_value("_row").alias("_row"),
+            F.min_by("_known_key", F.when(F.col("_known_key").isNotNull(), F.col("_place"))).alias("_first"),
+        )
     )
-    return df.join(hits, row_key, "left")
+    return best.select("_row.*", F.col("_first").alias(out))
 
 
 def valid_on(

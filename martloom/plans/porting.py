@@ -22,7 +22,7 @@ OWN_OPERATOR = 1
 
 
 def porting_window(now: datetime) -> tuple[datetime, datetime]:
-    """From 25 days ago to 20 days ago plus ten minutes."""
+    """From 25 days before ``now``, included, to 20 days before it plus ten minutes, excluded."""
     return now - timedelta(days=25), now - timedelta(days=20) + timedelta(minutes=10)
 
 
@@ -40,8 +40,9 @@ def valid_operators(operators: DataFrame, as_of: date | str) -> DataFrame:
     )
 
 
-def porting_feed(inputs: Mapping[str, DataFrame], as_of: date | str, lo, hi) -> DataFrame:
-    """Port-ins to the own operator finished in ``[lo, hi)``."""
+def porting_feed(inputs: Mapping[str, DataFrame], now: datetime) -> DataFrame:
+    """Port-ins to the own operator finished in ``porting_window(now)``, operators valid on the day of ``now``."""
+    lo, hi = porting_window(now)
     # The filter moves below the left join, to its left side only: the user of a
     # process may stand on a row with another recipient.
     ports = final_user(inputs["mnp_process"]).filter(
@@ -79,7 +80,7 @@ def porting_feed(inputs: Mapping[str, DataFrame], as_of: date | str, lo, hi) ->
     )
     named = role_lookup(
         ports.join(numbers, "id").join(finals, ["status", "process_type_id"]).join(types, "process_type_id"),
-        valid_operators(inputs["operators"], as_of).withColumnRenamed("id", "operator_id"),
+        valid_operators(inputs["operators"], now.date()).withColumnRenamed("id", "operator_id"),
         "operator_id",
         {"donor_id": {"code": "donor_name"}, "recipient_id": {"code": "recipient_name"}},
         how="inner",
