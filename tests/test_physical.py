@@ -94,6 +94,34 @@ def test_prior_record_spreads_a_key_by_blocks(spark, sf, limit):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lines = [line.strip(" :+-") for line in plan.splitlines()]
-    windows = [i for i, line in enumerate(lines) if line.startswith("Window") and "_block" in line.split("],")[-1]]
-    exchanges = [line for line in lines if line.startswith("Exchange hashpartitioning(_key") and "_block" in line]
-    assert windows and len(exchanges) == 2  # one per branch when planned, reused when run
+    windows = [line for line in lines if line.startswith("Window") and "_order" in line]
+    by_block = [line for line in windows if "_block" in line.split("], [")[1]]
+    assert len(by_block) == 2 and len(windows) == 3  # blocks, blocks of blocks, and those
+
+
+@pytest.mark.parametrize("name, log", [("bundle_sales", "lineitem"), ("tv_sales", "lineitem"), ("fixed_line_sales", "lineitem")])
+def test_status_log_is_read_once(spark, sf, name, log):
+    plan = physical(q.QUERIES[name](spark, sf))
+    assert plan.count(f"{log}.parquet") == 1
+
+
+def test_planning_a_mart_starts_no_job(spark, sf):
+    tracker, group = spark.sparkContext.statusTracker(), "planning"
+    q.QUERIES["scan_parquet"](spark, sf).schema
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        t = Tables(q.tune(spark), sf)
+        for name in ("lineitem", "orders", "part", "nation", "region", "supplier"):
+            t[name]  # reading a footer for the schema is a job of Spark's own
+        before = len(tracker.getJobIdsForGroup(group))
+        q._region_usage(t, 30)._jdf.queryExecution().executedPlan()
+        assert len(tracker.getJobIdsForGroup(group)) == before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_profile_exchanges_narrow_rows(spark, sf):
+    t = Tables(q.tune(spark), sf)
+    plan = physical(q._profile(t))
+    exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning(subs_key" in line]
+    assert exchanged and "v_out_onnet_loc_min" not in "".join(exchanged)

@@ -25,11 +25,11 @@ _EVENTS = "select event_id, ts, user_id, event_type, value, cast(ts as date) as
 _SQL["sink_overwrite_date"] = """
 select event_id, ts, user_id, event_type,
   case when cast(ts as date) = date '2024-01-15' then value * 2 else value end as value,
-  cast(ts as date) as dt from events"""
+  cast(ts as date) as dt from events where cast(ts as date) <> date '2024-01-16'"""
 _SQL["table_partitioned_parquet"] = _EVENTS
 _SQL["table_partitioned_orc"] = _EVENTS
 _SQL["table_partition_swap"] = f"""
-select * from ({_EVENTS}) e where dt not in (date '2024-01-10', date '2024-01-15')
+select * from ({_EVENTS}) e where dt not in (date '2024-01-10', date '2024-01-11', date '2024-01-15')
 union all select event_id, ts, user_id, event_type, value + 1, dt from ({_EVENTS}) e where dt = date '2024-01-15'
 union all select event_id, ts, user_id, event_type, value + 1, date '2024-02-15' from ({_EVENTS}) e
   where dt = date '2024-01-15'"""
@@ -93,9 +93,9 @@ _HOURLY = """hourly as (
     count(*) filter (where call_type_code = 'V' and call_direction_ind = '2') as call_out_amt,
     count(*) filter (where call_type_code = 'V' and call_direction_ind = '1') as call_in_amt,
     cast(coalesce(sum(actual_call_duration_sec)
-      filter (where call_type_code = 'V' and call_direction_ind = '2'), 0) as bigint) as out_sec,
+      filter (where call_type_code = 'V' and call_direction_ind = '2'), 0) as decimal(28,1)) as out_sec,
     cast(coalesce(sum(actual_call_duration_sec)
-      filter (where call_type_code = 'V' and call_direction_ind = '1'), 0) as bigint) as in_sec,
+      filter (where call_type_code = 'V' and call_direction_ind = '1'), 0) as decimal(28,1)) as in_sec,
     cast(coalesce(sum(rounded_data_volume) filter (where call_type_code = 'G'), 0) as bigint) as bytes
   from det_layer
   where (counted_cdr_ind = '1' or charge_amt <> 0) and call_forward_ind <> 1 and call_type_code in ('V', 'G')
@@ -104,12 +104,13 @@ _HOURLY = """hourly as (
 _SQL["cell_site_actual"] = f"with {_CELLS} select * from cells"
 _SQL["usage_hourly"] = f"""
 with {_HOURLY} select period, hhour_id, subs_key, ban_key, lac, cell_id, call_out_amt, call_in_amt,
-  out_sec / 60 as call_out_duration_min, in_sec / 60 as call_in_duration_min, bytes / 1048576 as data_vlm_mb
+  cast(out_sec as double) / 60 as call_out_duration_min, cast(in_sec as double) / 60 as call_in_duration_min,
+  bytes / 1048576 as data_vlm_mb, out_sec as call_out_sec, in_sec as call_in_sec, bytes as data_bytes
 from hourly"""
 _SQL["voice_data_equivalent"] = f"""
 with {_CELLS}, {_HOURLY}
 select period, hhour_id, subs_key, ban_key, h.lac, h.cell_id, cell_nettype,
-  (in_sec / 60 + out_sec / 60) * 60 * case when cell_nettype = '3G' then cast(21.4 as double)
+  (cast(in_sec as double) / 60 + cast(out_sec as double) / 60) * 60 * case when cell_nettype = '3G' then cast(21.4 as double)
     when cell_nettype = '4G' then cast(0 as double)
     when cell_nettype = '2G' or cell_nettype is null then cast(20 as double) end / 8192
   + bytes / 1048576 as eq_mb
@@ -121,8 +122,8 @@ def _region_usage(days: int) -> str:
   select date '2024-04-01' as calc_date, subs_key, ban_key, region,
     count(distinct period) as uniq_days_amt,
     cast(sum(call_out_amt) as bigint) as call_out_amt, cast(sum(call_in_amt) as bigint) as call_in_amt,
-    cast(sum(in_sec) as bigint) / 60 as call_in_duration_min,
-    cast(sum(out_sec) as bigint) / 60 as call_out_duration_min,
+    cast(cast(sum(in_sec) as decimal(28,1)) as double) / 60 as call_in_duration_min,
+    cast(cast(sum(out_sec) as decimal(28,1)) as double) / 60 as call_out_duration_min,
     cast(sum(bytes) as bigint) / 1048576 as data_vlm_mb,
     case when count(*) filter (where cell_nettype is null or cell_nettype in ('2G', '3G', '4G')) > 0 then
       (cast(coalesce(sum(in_sec + out_sec) filter (where cell_nettype is null or cell_nettype = '2G'), 0) as double)
@@ -194,28 +195,28 @@ select 'lac', cast(lac_tac as varchar), cast(sectors as varchar), count(*) from
 join (select lac_tac, count(*) as sectors from dir_sector group by 1) s
   on cast(regexp_replace(lac, '[^0-9]+', '', 'g') as bigint) = lac_tac group by lac_tac, sectors"""
 
-_ORDER = """login_fttb, ban, fttb_subscriber_type, fmc_type_id, phone1, phone2, phone3, user_id,
-  sl_dealer_cd, sl_dealer_name, mon_dealer_cd"""
+_LO, _HI = "timestamp '1998-01-01 00:00:00'", "timestamp '2000-01-01 00:00:00'"
 
 
 def _reached(types: str, statuses: str) -> str:
-    return f"""reached as (
-  select id, order_status_id, order_status_date, {_ORDER} from fmc_order_data
-  where order_status_id in ({statuses}) and pre_order_status_id is null and fmc_type_id in ({types})
-    and login_fttb is not null
-    and order_status_date >= timestamp '1998-01-01 00:00:00' and order_status_date < timestamp '2000-01-01 00:00:00'
-  union all
-  select o.id, l.pre_order_status_id, l.pre_order_status_date, {_ORDER}
-  from fmc_order_data o join fmc_change_status_log l on o.id = l.fmc_order_id
-  where l.pre_order_status_id in ({statuses}) and fmc_type_id in ({types}) and login_fttb is not null
-    and l.pre_order_status_date >= timestamp '1998-01-01 00:00:00'
-    and l.pre_order_status_date < timestamp '2000-01-01 00:00:00'),
-matched as (
-  select t.*, b.id as prev_req_id, b.order_status_id as prev_req_status, b.fmc_type_id as prev_fmc_req_type,
-    row_number() over (partition by t.id, t.ban, t.login_fttb, t.order_status_date
-      order by b.id desc nulls last, t.order_status_id desc) as rn
-  from reached t left join fmc_order_data b on t.login_fttb = b.login_fttb and t.id > b.id),
-prior as (select * exclude (rn) from matched where rn = 1)"""
+    """Every moment an order came to one of the statuses, and the login's order before it."""
+    return f"""moments as (
+  select order_key, moment, max(state) as state from (
+    select id as order_key, order_status_id as state, order_status_date as moment from fmc_order_data
+      where pre_order_status_id is null
+    union all select fmc_order_id, pre_order_status_id, pre_order_status_date from fmc_change_status_log) every_state
+  where state in ({statuses}) and moment >= {_LO} and moment < {_HI} group by all),
+eligible as (
+  select * exclude (order_status_id, order_status_date, pre_order_status_id) from fmc_order_data
+  where fmc_type_id in ({types}) and login_fttb is not null),
+earlier as (
+  select e.id as order_key, max(f.id) as before_key from eligible e join fmc_order_data f
+    on f.login_fttb = e.login_fttb and f.id < e.id group by all),
+prior as (
+  select e.*, m.state as order_status_id, m.moment as order_status_date, before_key as prev_req_id,
+    f.order_status_id as prev_req_status, f.fmc_type_id as prev_fmc_req_type
+  from moments m join eligible e on e.id = m.order_key left join earlier x on x.order_key = e.id
+    left join fmc_order_data f on f.id = x.before_key)"""
 
 
 _BUNDLE = _reached("'2', '4'", "414, 14")
@@ -240,7 +241,7 @@ with {_BUNDLE}
 select p.*, gsm_number, sign_main_gsm from prior p left join fmc_gsm g on p.id = g.fmc_order_id
   and g.sign_main_gsm = '1' and (g.expiration_date is null or g.expiration_date > date '2024-04-01')
 where {_sale("'2'", "4", "3")}"""
-_SQL["tv_sales"] = f"with {_TV} select * from prior where {_sale(chr(39) + '3' + chr(39), '4', '2')}"
+_SQL["tv_sales"] = f"""with {_TV} select * from prior where {_sale("'3'", "4", "2")}"""
 _SQL["self_join_status"] = """
 select a.*, u.usr as user_id from mnp_process a left join mnp_process u on a.id = u.id and u.status = 101
 where a.status = 1"""
@@ -258,77 +259,81 @@ _SQL["scalar_lookup"] = "select objid, " + ", ".join(
     f"(select x_title from table_x_int_reason r where r.objid = i.x_interact2reason{n}) as reason{n}"
     for n in range(1, 5)
 ) + " from table_interact i"
-_PHONES = " ".join(
-    f"left join subscriber s{i} on trim(s{i}.subscriber_no) = trim(c.{p})"
-    for i, p in enumerate(("phone", "phone2", "phone3"), 1)
-)
-_FIRST_PHONE = "coalesce(trim(s1.subscriber_no), trim(s2.subscriber_no), trim(s3.subscriber_no))"
+_KNOWN = """numbers as (select distinct trim(subscriber_no) as number from subscriber),
+tries as (select id, unnest([phone, phone2, phone3]) as try, unnest([1, 2, 3]) as place from suz_order_data),
+chosen as (select id, arg_min(number, place) as number from tries join numbers on number = trim(try) group by id)"""
 _SQL["first_match_lookup"] = f"""
-select c.id, c.phone, c.phone2, c.phone3, {_FIRST_PHONE} as known_phone from suz_order_data c {_PHONES}"""
+with {_KNOWN} select o.id, phone, phone2, phone3, number as known_phone
+from suz_order_data o left join chosen on chosen.id = o.id"""
 _SQL["fixed_line_sales"] = f"""
-select c.id, c.login, c.ban, {_FIRST_PHONE} as phone, c.connection_type, c.sl_dealer_cd, c.sl_dealer_name,
-  c.user_id, c.order_status_id, c.pre_order_status_id,
-  case when length(c.phone) > 10 then substr(c.phone, 1, 10) else c.phone end as subs_contact_num
-from suz_order_data c {_PHONES} where c.id in ({_CONNECTED})"""
+with {_KNOWN}, wanted as ({_CONNECTED})
+select o.id, login, ban, number as phone, connection_type, sl_dealer_cd, sl_dealer_name, user_id, order_status_id,
+  pre_order_status_id, left(o.phone, 10) as subs_contact_num
+from suz_order_data o left join chosen on chosen.id = o.id where exists (from wanted w where w.id = o.id)"""
 _SQL["porting_feed"] = """
-select i.fd, a.id, o.code as donor_name, q.code as recipient_name, b.uniq, s.status_name, i.mob_num, i.ban,
-  i.market_id, i.account_type_id, i.tmp_mob_num,
-  case when a.donor_id = 1 then 'PORT OUT' when a.recipient_id = 1 then 'PORT IN' end as portation_type,
-  a.dealer_point_id, u.usr as user_id
-from mnp_process a left join mnp_process u on a.id = u.id and u.status = 101
-  join mnp_process_statuses s on a.status = s.status and a.process_type_id = s.process_type_id
-  join operators o on o.id = a.donor_id join operators q on q.id = a.recipient_id
-  join mnp_process_mb i on a.id = i.process_id join mnp_process_type b on a.process_type_id = b.id
-  join dict_data d on d.code = i.status
-where o.td >= date '2024-04-01' and q.td >= date '2024-04-01' and b.id in (2, 5)
-  and s.is_final = 1 and s.status_type = 1 and s.status = 1 and d.up = 21 and d.code = 6 and a.recipient_id = 1
-  and i.fd >= timestamp '1998-01-01 00:00:00' and i.fd < timestamp '2000-01-01 00:00:00'"""
+with clock as (select timestamp '1998-06-26 08:30:00' as now),
+live as (select operators.id, code from operators, clock where td >= cast(now as date)),
+finished as (
+  select m.* from mnp_process_mb m, clock
+  where m.status = 6 and exists (from dict_data where up = 21 and code = m.status)
+    and fd >= now - interval 25 day and fd < now - interval 20 day + interval 10 minute),
+own as (
+  select p.*, s.status_name, t.uniq from mnp_process p
+  join mnp_process_statuses s using (status, process_type_id) join mnp_process_type t on t.id = p.process_type_id
+  where p.recipient_id = 1 and p.status = 1 and p.process_type_id in (2, 5) and s.is_final = 1 and s.status_type = 1),
+entered as (select id, usr from mnp_process where status = 101)
+select fd, own.id, giver.code as donor_name, taker.code as recipient_name, uniq, status_name, mob_num, ban, market_id,
+  account_type_id, tmp_mob_num,
+  case 1 when donor_id then 'PORT OUT' when recipient_id then 'PORT IN' end as portation_type, dealer_point_id,
+  entered.usr as user_id
+from own join finished on finished.process_id = own.id join live giver on giver.id = donor_id
+  join live taker on taker.id = recipient_id left join entered on entered.id = own.id"""
+# Visit codes that count with these reasons, and those that count with any.
+_VISIT_PAIRS = """('MCN', 'ATNO'), ('RPS', 'RPSW'), ('CPP', 'CPPR'), ('CCN', 'CCNW'), ('RSP', 'RSBO'), ('RSP', 'RSB')"""
+_VISIT_CODES = "'C16', 'C17', 'B05', 'B02', 'B60', 'B00', 'B08', 'UAE'"
 _SQL["service_visits"] = f"""
-select s.actv_code, s.actv_rsn_code, s.ban, r.subscriber_no, {_SEGMENT} as segment_type, s.sys_creation_date,
-  s.operator_id, concat('ENS_', s.trx_seq_no, '_', s.actv_code) as visit_id, {_LANGUAGE} as language
-from csm_transactions s join billing_account ba on s.ban = ba.ban
-  join subscriber r on s.ban = r.customer_id
-  left join (select distinct ban, soc from service_option
-    where service_type = 'O' and soc in ('ICLM_RUS', 'ICLM_KAZ')) sa on s.ban = sa.ban
-where ba.account_type in ('13', '113', '37', '39', '41') and r.sub_status = 'A'
-  and s.sys_creation_date >= timestamp '2024-01-10 00:00:00' and s.sys_creation_date < timestamp '2024-01-20 00:00:00'
-  and (concat(s.actv_code, '/', s.actv_rsn_code) in ('MCN/ATNO', 'RPS/RPSW', 'CPP/CPPR', 'CCN/CCNW', 'RSP/RSBO', 'RSP/RSB')
-    or s.actv_code in ('C16', 'C17', 'B05', 'B02', 'B60', 'B00', 'B08', 'UAE'))
-  and s.operator_id not like '999%'"""
-
-
-def _mails(dealer: str, more: str, where: str) -> str:
-    reasons = ", ".join(
-        f"(select x_title from table_x_int_reason x where x.objid = i.x_interact2reason{n}) as interactionreasons{n}"
-        for n in range(1, 5)
-    )
-    return f"""select i.objid, p.serial_no as ctn, t.account_type, {_SEGMENT} as segment_type,
-  i.end_date as interactionendtime, i.inserted_by, {reasons}, i.interact_id as interactionid,
-  {dealer} as posdealercode, date '2024-01-30' as creationdate
-from table_interact i join table_site_part p on p.objid = i.interact2site_part and p.part_status = 'Active'
-  join table_site s on p.site_part2site = s.objid join table_bus_org o on s.primary2bus_org = o.objid
-  join table_x_ref_account_type t on o.type = t.account_type_desc {more}
-where i.type = 'Email' and t.account_type in ('13', '113', '37', '39', '41')
-  and i.create_date > timestamp '2024-01-20 00:00:00' and {where}"""
-
-
-_SQL["crm_contacts"] = " union all ".join(
-    [
-        _mails(
-            "regexp_extract(n.notes, '([^*]+)', 1)",
-            "join table_interact_txt n on n.interact_txt2interact = i.objid",
-            "i.inserted_by <> 'robot' and i.direction = 'OUT'",
-        ),
-        _mails("regexp_extract(i.title, '([^;]+)', 1)", "", "i.inserted_by = 'robot' and i.direction = 'IN'"),
-    ]
-)
+with languages as (
+  select ban, {_LANGUAGE} as language from service_option
+  where service_type = 'O' and soc in ('ICLM_RUS', 'ICLM_KAZ') group by all),
+accounts as (select ban, {_SEGMENT} as segment_type from billing_account where account_type in ('13', '113', '37', '39', '41')),
+visits as (
+  select * from csm_transactions
+  where ((actv_code, actv_rsn_code) in ({_VISIT_PAIRS}) or actv_code in ({_VISIT_CODES}))
+    and not starts_with(operator_id, '999')
+    and sys_creation_date >= timestamp '2024-01-10 00:00:00' and sys_creation_date < timestamp '2024-01-20 00:00:00')
+select actv_code, actv_rsn_code, v.ban, subscriber_no, segment_type, sys_creation_date, operator_id,
+  concat_ws('_', 'ENS', trx_seq_no, actv_code) as visit_id, language
+from visits v join accounts using (ban) join subscriber n on n.customer_id = v.ban and n.sub_status = 'A'
+  left join languages using (ban)"""
+
+_SQL["crm_contacts"] = f"""
+with reasons as (select objid as reason_key, any_value(x_title) as title from table_x_int_reason group by objid),
+owners as (
+  select p.objid as owner_key, serial_no, account_type
+  from table_site_part p join table_site s on s.objid = site_part2site
+    join table_bus_org b on b.objid = primary2bus_org join table_x_ref_account_type on account_type_desc = b.type
+  where part_status = 'Active' and account_type in ('13', '113', '37', '39', '41')),
+letters as (
+  select i.*, case when inserted_by <> 'robot' and direction = 'OUT' then 'agent'
+    when inserted_by = 'robot' and direction = 'IN' then 'robot' end as author
+  from table_interact i where type = 'Email' and create_date > timestamp '2024-01-20 00:00:00'),
+dealt as (
+  select l.*, split_part(ltrim(notes, '*'), '*', 1) as dealer from letters l
+    join table_interact_txt on interact_txt2interact = objid where author = 'agent'
+  union all select *, split_part(ltrim(title, ';'), ';', 1) from letters where author = 'robot')
+select d.objid, serial_no as ctn, account_type, {_SEGMENT} as segment_type, end_date as interactionendtime, inserted_by,
+  a.title as interactionreasons1, b.title as interactionreasons2, c.title as interactionreasons3,
+  e.title as interactionreasons4, interact_id as interactionid, dealer as posdealercode, date '2024-01-30' as creationdate
+from dealt d join owners on owner_key = interact2site_part
+  left join reasons a on a.reason_key = x_interact2reason1 left join reasons b on b.reason_key = x_interact2reason2
+  left join reasons c on c.reason_key = x_interact2reason3 left join reasons e on e.reason_key = x_interact2reason4"""
 
 # --- aggregates, rankings, set operations -------------------------------------
 
 _SQL["conditional_kpi"] = """
 select subs_key, ban_key,
   cast(coalesce(sum(charge_amt + vat_amt) filter (where src in ('CHA', 'PSA', 'ROAM', 'GPRS')), 0)
-    as decimal(28,2)) as usage_charge,
+    as decimal(28,4)) as usage_charge,
   count(*) filter (where v) as voice_out_calls, max(call_start_time) filter (where v) as last_voice_out,
   cast(coalesce(max(recharge_amt) filter
     (where src = 'RHA' and recharge_source in ('E', 'S', 'B') and recharge_amt > 0), 0) as decimal(18,2)) as max_topup
@@ -350,23 +355,22 @@ union all select fmc_order_id, pre_order_status_id, pre_order_status_date from f
 where pre_order_status_id in (414, 14)"""
 
 
-def _price_plan(as_of: str, match: str) -> str:
+def _price_plan(as_of: str, code: str) -> str:
+    """``code`` makes a plan code comparable."""
     return f"""
-select subs_key, ban_key, cast(0 as integer) as arch_pp_ind, max(case when rn = 1 then soc end) as curr_price_plan_code,
-  max(case when rn = 1 then pp_group end) as pp_group,
-  max(case when rn = 1 then effective_date end) as price_plan_change_date,
-  max(case when rn = 2 then soc end) as prev_price_plan_code
-from (select a.subscriber_no as subs_key, a.ban as ban_key, a.soc, p.pp_group, a.effective_date,
-    row_number() over (partition by a.subscriber_no, a.ban order by a.effective_date desc nulls last,
-      a.sys_creation_date desc nulls last, a.agreement_id desc) as rn
-  from service_agreement a left join soc s on {match}
-    left join dim_price_plan p on trim(s.soc) = trim(p.price_plan_key)
-  where a.service_type = 'P' and a.effective_date < date '{as_of}' + 1) x
-where rn in (1, 2) group by subs_key, ban_key"""
-
-
-_SQL["price_plan_current_prev"] = _price_plan("2024-04-01", "a.soc = s.soc")
-_SQL["price_plan_padded_codes"] = _price_plan("2000-06-30", "trim(a.soc) = trim(s.soc)")
+with named as (select {code.format("soc")} as plan, any_value(pp_group) as pp_group
+  from soc left join dim_price_plan on trim(price_plan_key) = trim(soc) group by all),
+history as (
+  select subscriber_no, ban, list(struct_pack(soc, effective_date)
+    order by effective_date desc nulls last, sys_creation_date desc nulls last, agreement_id desc) as plans
+  from service_agreement where service_type = 'P' and effective_date < date '{as_of}' + interval 1 day group by all)
+select subscriber_no as subs_key, ban as ban_key, cast(0 as integer) as arch_pp_ind, plans[1].soc as curr_price_plan_code,
+  pp_group, plans[1].effective_date as price_plan_change_date, plans[2].soc as prev_price_plan_code
+from history left join named on plan = {code.format("plans[1].soc")}"""
+
+
+_SQL["price_plan_current_prev"] = _price_plan("2024-04-01", "{}")
+_SQL["price_plan_padded_codes"] = _price_plan("2000-06-30", "trim({})")
 
 # --- scalar functions -----------------------------------------------------
 
@@ -387,10 +391,10 @@ select subs_key, try_cast(regexp_replace(lac, '[^0-9]+', '', 'g') as bigint) as
   cast(call_start_time as date) as day, cast(substr(cast(call_start_time as varchar), 1, 10) as date) as day_from_text,
   try_cast(src as bigint) as bad_cast from det_layer"""
 _SQL["fn_math"] = """
-select subs_key, cast(abs(charge_amt) as decimal(18,2)) as abs_charge,
-  cast(charge_amt + vat_amt as decimal(20,2)) as gross, cast(charge_amt - vat_amt as decimal(20,2)) as net,
-  actual_call_duration_sec / 60 as minutes, rounded_data_volume / 1024 / 1024 as megabytes,
-  actual_call_duration_sec * 1024 as scaled from det_layer"""
+select subs_key, cast(abs(charge_amt) as decimal(18,4)) as abs_charge,
+  cast(charge_amt + vat_amt as decimal(20,4)) as gross, cast(charge_amt - vat_amt as decimal(20,4)) as net,
+  cast(actual_call_duration_sec as double) / 60 as minutes, rounded_data_volume / 1024 / 1024 as megabytes,
+  cast(actual_call_duration_sec * 1024 as decimal(28,1)) as scaled from det_layer"""
 _SQL["fn_dates"] = """
 select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as iso, strftime(o_orderdate, '%H') as hour_text,
   strftime(o_orderdate, '%d%m%Y') as day_folder, strftime(o_orderdate, '%m-%Y') as month_folder,
@@ -516,17 +520,17 @@ topup max_topup_amt maxtopup TOPUP
 topup topup_count count TOPUP
 """
 _FORMS = {
-    "money": "cast(coalesce(sum(charge_amt + vat_amt) filter (where {}), 0) as decimal(28,2))",
-    "absmoney": "cast(coalesce(sum(abs(charge_amt + vat_amt)) filter (where {}), 0) as decimal(28,2))",
-    "maxabsmoney": "cast(coalesce(max(abs(charge_amt + vat_amt)) filter (where {}), 0) as decimal(28,2))",
+    "money": "cast(coalesce(sum(charge_amt + vat_amt) filter (where {}), 0) as decimal(28,4))",
+    "absmoney": "cast(coalesce(sum(abs(charge_amt + vat_amt)) filter (where {}), 0) as decimal(28,4))",
+    "maxabsmoney": "cast(coalesce(max(abs(charge_amt + vat_amt)) filter (where {}), 0) as decimal(28,4))",
     "topup": "cast(coalesce(sum(recharge_amt) filter (where {}), 0) as decimal(28,2))",
     "maxtopup": "cast(coalesce(max(recharge_amt) filter (where {}), 0) as decimal(28,2))",
     "count": "count(*) filter (where {})",
-    "min": "cast(coalesce(sum(actual_call_duration_sec) filter (where {}), 0) as bigint) / 60",
+    "min": "cast(cast(coalesce(sum(actual_call_duration_sec) filter (where {}), 0) as decimal(28,1)) as double) / 60",
     "mb": "cast(coalesce(sum(rounded_data_volume) filter (where {}), 0) as bigint) / 1048576",
     "last": "max(call_start_time) filter (where {})",
 }
-_FORMS["maxmoney"] = "cast(max(case when {} then charge_amt + vat_amt else 0 end) as decimal(28,2))"
+_FORMS["maxmoney"] = "cast(max(case when {} then charge_amt + vat_amt else 0 end) as decimal(28,4))"
 PROFILE_FAMILIES = ("arpu", "voice", "data", "sms", "mfs", "topup")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,7 @@ ALL_DAYS = 90  # days before ON that cover all usage
 CONTACTS_ON = date(2024, 1, 30)
 ORDERS = ("1998-01-01", "2000-01-01")
 FIXED_LINE = ("1998-01-01", "1999-01-01")
+PORTED_AT = datetime(1998, 6, 26, 8, 30)
 VISITS = ("2024-01-10", "2024-01-20")
 MFS = (1, 2, 3)
 
@@ -75,8 +76,15 @@ def scan_snapshot(t: Tables) -> DataFrame:
 
 @query
 def scan_csv_dim(t: Tables) -> DataFrame:
+    """Three named columns of a file that has more, in another order."""
     base = folders.fresh_folder(t.spark, "content-list")
-    t["dim_bls_content_list"].write.csv(base, sep=";", header=True)
+    wider = t["dim_bls_content_list"].select(
+        F.concat(F.lit("content "), "business_service_key").alias("name"),
+        "revenue_stream",
+        "business_service_key",
+        "business_service_type_key",
+    )
+    wider.write.csv(base, sep=";", header=True)
     return readers.read_csv_dimension(
         t.spark, base, ["business_service_key", "business_service_type_key", "revenue_stream"]
     )
@@ -91,7 +99,7 @@ def sink_roundtrip(t: Tables) -> DataFrame:
 
 @query
 def sink_overwrite_date(t: Tables) -> DataFrame:
-    """A dataset of all days, then one day written anew, twice."""
+    """A dataset of all days, then one day written anew, twice, and one that lost its rows."""
     base = folders.fresh_folder(t.spark, "history")
     folders.overwrite_dates(_events_by_day(t), base)
     day = date(2024, 1, 15)
@@ -102,6 +110,7 @@ def sink_overwrite_date(t: Tables) -> DataFrame:
     )
     for _ in range(2):
         folders.overwrite_date(changed, base, day)
+    folders.overwrite_date(changed.limit(0), base, date(2024, 1, 16))
     return readers.read_dated(t.spark, base)
 
 
@@ -119,6 +128,7 @@ def _events_table(t: Tables, file_format: str) -> str:
     tables.create_external_table(
         t.spark, name, _EVENT_COLUMNS, {"dt": "date"}, folders.fresh_folder(t.spark, name), file_format
     )
+    folders.at_end(lambda session: session.sql(f"DROP TABLE IF EXISTS {name}"))
     tables.insert_dates(_events_by_day(t), name, "dt")
     return name
 
@@ -135,11 +145,12 @@ def table_partitioned_orc(t: Tables) -> DataFrame:
 
 @query
 def table_partition_swap(t: Tables) -> DataFrame:
-    """Drop one day, replace one and add one that the table did not have."""
+    """Drop one day, empty one, replace one and add one that the table did not have."""
     name = _events_table(t, "parquet")
     tables.drop_partition(t.spark, name, "dt", "2024-01-10")
-    for day in ("2024-01-15", "2024-02-15"):
-        rows = _events_by_day(t).filter(F.col("dt") == F.lit("2024-01-15").cast("date"))
+    one_day = _events_by_day(t).filter(F.col("dt") == F.lit("2024-01-15").cast("date"))
+    for day in ("2024-01-11", "2024-01-15", "2024-02-15"):
+        rows = one_day.limit(0) if day == "2024-01-11" else one_day
         tables.swap_partition(
             rows.withColumn("value", F.col("value") + 1),
             name,
@@ -246,9 +257,9 @@ def effective_dated_lookup(t: Tables) -> DataFrame:
 
 
 def _cells(t: Tables) -> DataFrame:
-    """The cell dimension as its consumers see it: a table with a known size."""
+    """The cell dimension, part of its consumers' plans."""
     if not t.has("cell_site_actual"):
-        t["cell_site_actual"] = folders.materialise(cells.cell_site_actual(t), "cell-site-actual")
+        t["cell_site_actual"] = cells.cell_site_actual(t)
     return t["cell_site_actual"]
 
 
@@ -377,6 +388,7 @@ def first_match_lookup(t: Tables) -> DataFrame:
 
 @query
 def conditional_kpi(t: Tables) -> DataFrame:
+    charge = kpi.exact(t["det_layer"], F.col("charge_amt") + F.col("vat_amt"))
     return kpi.conditional_metrics(
         t["det_layer"],
         ["subs_key", "ban_key"],
@@ -387,7 +399,7 @@ def conditional_kpi(t: Tables) -> DataFrame:
             "topup": recharge.is_topup(),
         },
         values={
-            "charge": kpi.cents(F.col("charge_amt") + F.col("vat_amt")),
+            "charge": charge.units,
             "amount": F.col("recharge_amt"),
             "start": F.col("call_start_time"),
         },
@@ -397,7 +409,7 @@ def conditional_kpi(t: Tables) -> DataFrame:
             kpi.Metric("last_voice_out", "latest", "start", ("usage", "voice", "outgoing")),
             kpi.Metric("max_topup", "peak", "amount", ("topup",)),
         ],
-        finish={"charge": kpi.money},
+        finish={"charge": charge.total},
     )
 
 
@@ -487,12 +499,12 @@ def fn_casts(t: Tables) -> DataFrame:
 def fn_math(t: Tables) -> DataFrame:
     return t["det_layer"].select(
         "subs_key",
-        F.abs("charge_amt").cast("decimal(18,2)").alias("abs_charge"),
-        (F.col("charge_amt") + F.col("vat_amt")).cast("decimal(20,2)").alias("gross"),
-        (F.col("charge_amt") - F.col("vat_amt")).cast("decimal(20,2)").alias("net"),
-        (F.col("actual_call_duration_sec") / 60).alias("minutes"),
+        F.abs("charge_amt").cast("decimal(18,4)").alias("abs_charge"),
+        (F.col("charge_amt") + F.col("vat_amt")).cast("decimal(20,4)").alias("gross"),
+        (F.col("charge_amt") - F.col("vat_amt")).cast("decimal(20,4)").alias("net"),
+        (F.col("actual_call_duration_sec").cast("double") / 60).alias("minutes"),
         (F.col("rounded_data_volume") / 1024 / 1024).alias("megabytes"),
-        (F.col("actual_call_duration_sec") * 1024).alias("scaled"),
+        (F.col("actual_call_duration_sec") * 1024).cast("decimal(28,1)").alias("scaled"),
     )
 
 
@@ -621,7 +633,7 @@ def fixed_line_sales(t: Tables) -> DataFrame:
 
 @query
 def porting_feed(t: Tables) -> DataFrame:
-    return porting.porting_feed(t, date(2024, 4, 1), *ORDERS)
+    return porting.porting_feed(t, PORTED_AT)
 
 
 @query
