@@ -118,10 +118,3 @@ def test_planning_a_mart_starts_no_job(spark, sf):
         assert len(tracker.getJobIdsForGroup(group)) == before
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-
-
-def test_profile_exchanges_narrow_rows(spark, sf):
-    t = Tables(q.tune(spark), sf)
-    plan = physical(q._profile(t))
-    exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning(subs_key" in line]
-    assert exchanged and "v_out_onnet_loc_min" not in "".join(exchanged)
