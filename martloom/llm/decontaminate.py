@@ -58,15 +58,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         at = at.select("*", F.explode(F.array(*map(F.lit, lengths))).alias("length"))
     else:
         at = at.withColumn("length", F.lit(lengths[0]))
-    # Start 0 stands for the document itself, start n for its n-th word.
-    gram = F.slice("words", F.greatest("start", F.lit(1)), F.col("length"))
+    # Start 0 stands for the document itself, start n for its n-th word. Rows without a window
+    # have a hash of their own, so that they don't meet on NULL where the join is a shuffle, and
+    # rows carry their window only, never all words.
     fits = (F.col("start") > 0) & (F.col("start") + F.col("length") <= F.size("words") + 1)
-    at = at.select("*", F.when(fits, F.xxhash64(gram)).alias("hash"))
-    same = (F.col("hash") == F.col("gram_hash")) & (gram == F.col("gram"))
-    found = at.join(grams, same, "left").where((F.col("start") == 0) | F.col("gram_hash").isNotNull())
+    window_words = F.slice("words", F.greatest("start", F.lit(1)), F.col("length"))
+    rows = at.select(
+        "doc_id",
+        "text_hash",
+        F.size("words").alias("n_words"),
+        "start",
+        F.when(fits, window_words).alias("window_words"),
+    ).select("*", F.coalesce(F.when(F.col("window_words").isNotNull(), F.xxhash64("window_words")),
+                             F.xxhash64("text_hash", "doc_id", "start")).alias("hash"))
+    same = (F.col("hash") == F.col("gram_hash")) & (F.col("window_words") == F.col("gram"))
+    found = rows.join(grams, same, "left").where((F.col("start") == 0) | F.col("gram_hash").isNotNull())
     hit = F.when(F.col("start") > 0, F.struct((F.col("start") - 1).alias("start"), F.col("gram_size").alias("size")))
     return (
-        found.select("doc_id", "text_hash", F.size("words").alias("n_words"), hit.alias("hit"), "items")
+        found.select("doc_id", "text_hash", "n_words", hit.alias("hit"), "items")
         .groupBy("doc_id", "text_hash")
         .agg(
             F.max("n_words").cast("long").alias("n_words"),

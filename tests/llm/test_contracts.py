@@ -5,11 +5,11 @@ import hashlib
 import brute
 import public_tokenizers
 import pytest
-from conftest import SMALL
+from brute import SMALL
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from martloom.llm import bpe, decontaminate, licenses, pii, quality, queries, secrets, simhash, substring, suffixes, toxicity
+from martloom.llm import bpe, decontaminate, licenses, pii, quality, queries, repeats, secrets, simhash, substring, suffixes, toxicity
 from martloom.llm.oracles import ORACLES
 
 
@@ -91,7 +91,7 @@ def test_repeats_of_one_id_and_of_none(spark):
 
 
 def test_kept_texts(edges):
-    kept = {r.doc_id: r.kept_text for r in substring.substring_dedup(edges, result=substring.TEXT).collect()}
+    kept = {r.doc_id: r.kept_text for r in substring.substring_dedup(edges, result=repeats.TEXT).collect()}
     assert kept[7] == "" and kept[8].endswith("but not quite") and kept[10] == "Ünlike start:"
 
 

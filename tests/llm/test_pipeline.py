@@ -5,7 +5,7 @@ import hashlib
 import brute
 import corpus_pipeline
 import public_tokenizers
-from conftest import SMALL
+from brute import SMALL
 from tokenizers import Tokenizer
 
 from martloom.llm import pii, quality
