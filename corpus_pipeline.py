@@ -7,13 +7,11 @@ the shared folder and read again.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm import bpe, decontaminate, pii, quality, simhash
-from martloom.llm.text import shared_folder
+from martloom.sinks.folders import fresh_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between two stages stays in a folder of this run."""
+    """All stages over ``documents``; what lies between two stages is in a folder of this process."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = fresh_folder(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
