@@ -2,7 +2,7 @@
 
 Shared by the operators that differ in how they choose anchors. Anchors whose
 hash stands more than once are extended to the windows they can belong to; those
-windows' 128-bit hashes are sorted, and equal neighbours are told apart by place.
+windows' 96-bit hashes are sorted, and equal neighbours are told apart by place.
 A task first settles repeats among its own documents and sends one row for each
 different hash, so a passage in a third of all documents is not a third of the
 shuffled rows, and no pairs are made.
@@ -15,7 +15,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,28 +85,43 @@ def window_hashes(words: np.ndarray, starts: np.ndarray, size: int, base: np.uin
     return _mixed(_ranges(words, starts, starts + size, base))
 
 
-def _row_hash(doc_id: object, data: bytes) -> int:
-    """Tells rows apart that differ in doc_id or text."""
-    return xxhash.xxh64_intdigest(data, xxhash.xxh64_intdigest(repr(doc_id).encode()))
+def _row_hash(data: bytes) -> int:
+    """Tells rows of one doc_id apart that differ in text; few share an id, so 32 bits do."""
+    return xxhash.xxh32_intdigest(data) - (1 << 31)
 
 
-def _read(batch: pa.RecordBatch) -> list[tuple[object, bytes]]:
-    texts = batch.column("text").cast(pa.binary())
-    return [(d, t.as_py() or b"") for d, t in zip(batch.column("doc_id").to_pylist(), texts)]
+def _packed_rows(schema: pa.Schema):
+    """(doc_id, packed, size): texts compressed better than the shuffle would, as they cross it once."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=6).compress
+        for batch in pieces(batches, "text"):
+            texts = [t.as_py() or b"" for t in batch.column("text").cast(pa.binary())]
+            sizes = pa.array([len(t) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(map(pack, texts), pa.binary()), sizes], schema=schema
+            )
+
+    return rows
+
+
+def _unpacked(batch: pa.RecordBatch) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(p.as_py()) for p in batch.column("packed")]
 
 
 Anchors = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
-    """(key, doc_id, at, weight): one row per anchor. Weight 2 says that the key is known to repeat."""
+    """(key, doc_id, at): one row per anchor; ~at instead of at says that the key is known to repeat."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, "text"):
             keys, places, owners = [], [], []
-            ids, docs = batch.column("doc_id"), _read(batch)
-            for number, (_, data) in enumerate(docs):
-                words = word_hashes(data)
+            ids = batch.column("doc_id")
+            for number, text in enumerate(batch.column("text").cast(pa.binary())):
+                words = word_hashes(text.as_py() or b"")
                 if len(words) >= window:
                     at, key = anchors(words)
                     keys.append(key)
@@ -120,23 +137,23 @@ def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
             # All but one occurrence here are settled; under keys of their own they spread over the tasks.
             own = _mixed(key + (np.arange(len(key), dtype=np.uint64) + np.uint64(1)) * _BASE)
             key = np.where(spare, own, key)
+            at = at.astype(np.int32)
             yield from handed_back(
-                [pa.array(key.view(np.int64)), ids.take(pa.array(owner)), pa.array(at.astype(np.int32)),
-                 pa.array(np.where(twice, 2, 1).astype(np.int8))],
-                schema,
-            )
+                [pa.array(key.view(np.int64)), ids.take(pa.array(owner)), pa.array(np.where(twice, ~at, at))], schema
+            )
 
     return rows
 
 
 def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, (doc_id, at) of those whose key's weights add up to 2 or more."""
+    """Of rows sorted by key, (doc_id, at) of those whose key has two rows or is known to repeat."""
     last, weight, waiting = None, 0, None
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        key, weights = np.asarray(batch.column("key")), np.asarray(batch.column("weight")).astype(np.int64)
+        key, at = np.asarray(batch.column("key")), np.asarray(batch.column("at"))
+        weights = np.where(at < 0, 2, 1)
         fresh = np.ones(n, dtype=bool)
         fresh[0] = last is None or key[0] != last
         fresh[1:] = key[1:] != key[:-1]
@@ -144,7 +161,8 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         total = np.bincount(run, weights=weights, minlength=run[-1] + 1)
         total[0] += weight
         keep = total[run] >= 2
-        rows = batch.select(["doc_id", "at"])
+        places = pa.array(np.where(at < 0, ~at, at))
+        rows = pa.RecordBatch.from_arrays([batch.column("doc_id"), places], ["doc_id", "at"])
         if waiting is not None and not fresh[0] and keep[0]:
             yield waiting
         if fresh.any() or keep[-1]:
@@ -157,26 +175,30 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _window_rows(window: int, reach: int, schema: pa.Schema):
-    """(k1, k2, doc_id, row, start, later): the windows that repeated anchors can belong to.
+    """(k1, k2, doc_id, place): the windows that repeated anchors can belong to.
 
-    ``later`` counts the windows from ``start`` on that are known to stand earlier in this task's rows.
+    ``place`` is the row's hash and the start. The low half of ``k2`` counts the windows from
+    there on that are known to stand earlier in this task's rows; without any it is part of the key.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, "size"):
+            batch = batch.filter(batch.column("at").is_valid())
             ids, marks = batch.column("doc_id"), batch.column("at")
-            held = []
-            for number, (doc_id, data) in enumerate(_read(batch)):
-                if marks[number].is_valid:
-                    held.append(((doc_id is not None, doc_id), np.int64(_signed(_row_hash(doc_id, data))), number, data))
-            held.sort(key=lambda h: (h[0][0], h[0][1] if h[0][0] else 0, h[1]))
+            held = [
+                (doc_id is not None, doc_id, _row_hash(data), number, data)
+                for number, (doc_id, data) in enumerate(zip(ids.to_pylist(), _unpacked(batch)))
+            ]
+            held.sort(key=lambda h: (h[0], h[1] if h[0] else 0, h[2]))
             ones, twos, starts, owners, hashes = [], [], [], [], []
             before = None
-            for _, row, number, data in held:
-                if row == before:  # a repeated row
+            for _, doc_id, row, number, data in held:
+                if before == (doc_id, row):  # a repeated row
                     continue
-                before = row
+                before = doc_id, row
                 words = word_hashes(data)
+                if len(words) < window:  # the marks are of another row of this id
+                    continue
                 at = np.asarray(marks[number].values)
                 near = np.zeros(len(words) - window + 2, dtype=np.int32)
                 low, high = np.maximum(at - reach, 0), np.minimum(at + 1, len(words) - window + 1)
@@ -189,68 +211,75 @@ def _window_rows(window: int, reach: int, schema: pa.Schema):
                     twos.append(window_hashes(words, start, window, _TWO))
                     starts.append(start)
                     owners.append(np.full(len(start), number))
-                    hashes.append(np.full(len(start), row))
+                    hashes.append(np.full(len(start), row, dtype=np.int32))
             if not starts:
                 continue
             one, two, start, owner, row = map(np.concatenate, (ones, twos, starts, owners, hashes))
-            _, first = np.unique(one + _mixed(two), return_index=True)
-            later = np.ones(len(one), dtype=bool)
-            later[first] = False
+            order = np.lexsort((two, one))  # stable: of equal windows the earliest comes first
+            later = np.zeros(len(one), dtype=bool)
+            later[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
             # Settled windows go on as runs, under keys that spread over the tasks.
             beside = np.zeros(len(one), dtype=bool)
             beside[1:] = later[1:] & later[:-1] & (owner[1:] == owner[:-1]) & (start[1:] == start[:-1] + 1)
             heads = np.flatnonzero(~beside)
             length = np.where(later[heads], np.diff(np.append(heads, len(one))), 0)
-            one = np.where(later, _mixed(row.view(np.uint64) + start.astype(np.uint64) * _BASE), one)[heads]
+            one = np.where(later, _mixed(one + (np.arange(len(one), dtype=np.uint64) + np.uint64(1)) * _BASE), one)[heads]
+            two = (two[heads] >> np.uint64(32) << np.uint64(32)) | length.astype(np.uint64)
+            place = (row[heads].astype(np.int64) << 32) | start[heads]
             yield from handed_back(
-                [pa.array(one.view(np.int64)), pa.array(two[heads].view(np.int64)), ids.take(pa.array(owner[heads])),
-                 pa.array(row[heads]), pa.array(start[heads].astype(np.int32)), pa.array(length.astype(np.int32))],
+                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), ids.take(pa.array(owner[heads])), pa.array(place)],
                 schema,
-            )
+            )
 
     return rows
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
 def _later_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by window hash and place, those that are not their hash's first: (doc_id, row, start, later)."""
-    last, first_place = None, None
+    """Of rows sorted by window hash and place, those that are not their hash's first: (doc_id, place, later)."""
+    last, moved_on = None, False
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        k1, k2, row, start, later = (np.asarray(batch.column(c)) for c in ("k1", "k2", "row", "start", "later"))
-        fresh = np.ones(n, dtype=bool)
-        fresh[0] = last is None or (k1[0], k2[0]) != last
+        k1, k2, place = (np.asarray(batch.column(c)) for c in ("k1", "k2", "place"))
+        later = k2 & 0xFFFFFFFF
+        docs = batch.column("doc_id")
+        fresh, again = np.ones(n, dtype=bool), np.zeros(n, dtype=bool)
         fresh[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+        again[1:] = _same(docs.slice(1), docs.slice(0, n - 1)) & (place[1:] == place[:-1])
+        if last is not None:
+            fresh[0] = (k1[0], k2[0]) != last[:2]
+            again[0] = (docs[0].as_py(), place[0]) == last[2:]
+        # A run's first place may stand on several rows: a document repeated in full.
+        steps = np.cumsum(~fresh & ~again)
         head = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
-        own_row, own_start = row[np.maximum(head, 0)], start[np.maximum(head, 0)]
-        if first_place is not None:
-            own_row, own_start = np.where(head < 0, first_place[0], own_row), np.where(head < 0, first_place[1], own_start)
-        last, first_place = (k1[-1], k2[-1]), (own_row[-1], own_start[-1])
-        keep = (later > 0) | (~fresh & ((row != own_row) | (start != own_start)))
+        moved = np.where(head >= 0, steps > steps[np.maximum(head, 0)], moved_on | (steps > 0))
+        last, moved_on = (k1[-1], k2[-1], docs[n - 1].as_py(), place[-1]), bool(moved[-1])
+        keep = (later > 0) | moved
         if keep.any():
-            out = batch.select(["doc_id", "row", "start"]).filter(pa.array(keep))
+            out = batch.select(["doc_id", "place"]).filter(pa.array(keep))
             yield pa.RecordBatch.from_arrays(
-                [*out.columns, pa.array(np.maximum(later[keep], 1).astype(np.int32))], ["doc_id", "row", "start", "later"]
+                [*out.columns, pa.array(np.maximum(later[keep], 1).astype(np.int32))], ["doc_id", "place", "later"]
             )
 
 
+def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Equal, or both null."""
+    return np.asarray(pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b))))
+
+
 def _cut_rows(window: int, result: Callable[[list, np.ndarray], tuple], schema: pa.Schema):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, "size"):
             spans, found = batch.column("spans"), []
-            for number, (doc_id, data) in enumerate(_read(batch)):
+            for number, data in enumerate(_unpacked(batch)):
                 words = data.split()
                 gone = np.zeros(len(words) + 1, dtype=np.int32)
                 if spans[number].is_valid:
-                    row = _signed(_row_hash(doc_id, data))
                     own = spans[number].values
-                    mine = np.asarray(own.field("row")) == row
-                    start, later = np.asarray(own.field("start"))[mine], np.asarray(own.field("later"))[mine]
+                    place = np.asarray(own.field("place"))
+                    mine = place >> 32 == _row_hash(data)
+                    start, later = place[mine] & 0xFFFFFFFF, np.asarray(own.field("later"))[mine]
                     np.add.at(gone, start, 1)
                     np.add.at(gone, start + later - 1 + window, -1)
                 found.append(result(words, np.cumsum(gone[:-1]) > 0))
@@ -287,29 +316,33 @@ def without_repeats(docs: DataFrame, window: int, anchors: Anchors, reach: int,
     """
     kind = id_type(docs)
     docs = docs.select("doc_id", "text")
-    marks = f"key long, doc_id {kind}, at int, weight tinyint"
+    packed = f"doc_id {kind}, packed binary, size long"
+    # Joins are on a hash of the id, also of a null one, so that one exchange serves a group and its join.
+    id_hash = F.xxhash64("doc_id")
+    texts = docs.mapInArrow(_packed_rows(arrow_schema(packed)), packed).withColumn("id_hash", id_hash)
+    marks = f"key long, doc_id {kind}, at int"
     by_id = (
         docs.mapInArrow(_anchor_rows(anchors, window, arrow_schema(marks)), marks)
         .repartition("key")
         .sortWithinPartitions("key")
         .mapInArrow(_repeated_rows, f"doc_id {kind}, at int")
-        .groupBy(F.col("doc_id").alias("mark_id"))
+        .groupBy(id_hash.alias("mark_of"))
         .agg(F.collect_list("at").alias("at"))
     )
-    windows = f"k1 long, k2 long, doc_id {kind}, row long, start int, later int"
+    windows = f"k1 long, k2 long, doc_id {kind}, place long"
     spans = (
-        docs.join(by_id, docs["doc_id"].eqNullSafe(by_id["mark_id"]), "left")
-        .select("doc_id", "text", "at")
+        texts.join(by_id, texts["id_hash"] == by_id["mark_of"], "left")
+        .select("doc_id", "packed", "size", "at")
         .mapInArrow(_window_rows(window, reach, arrow_schema(windows)), windows)
         .repartition("k1")
-        .sortWithinPartitions("k1", "k2", F.asc_nulls_first("doc_id"), "row", "start")
-        .mapInArrow(_later_rows, f"doc_id {kind}, row long, start int, later int")
-        .groupBy(F.col("doc_id").alias("span_id"))
-        .agg(F.collect_list(F.struct("row", "start", "later")).alias("spans"))
+        .sortWithinPartitions("k1", "k2", F.asc_nulls_first("doc_id"), "place")
+        .mapInArrow(_later_rows, f"doc_id {kind}, place long, later int")
+        .groupBy(id_hash.alias("span_of"))
+        .agg(F.collect_list(F.struct("place", "later")).alias("spans"))
     )
     out = f"doc_id {kind}, {result[1]}"
     return (
-        docs.join(spans, docs["doc_id"].eqNullSafe(spans["span_id"]), "left")
-        .select("doc_id", "text", "spans")
+        texts.join(spans, texts["id_hash"] == spans["span_of"], "left")
+        .select("doc_id", "packed", "size", "spans")
         .mapInArrow(_cut_rows(window, result[0], arrow_schema(out)), out)
     )

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import string
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from martloom.sinks.folders import fresh_folder
+
 #: A normalised word: digits, a-z and everything outside ASCII.
 NORMAL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -37,21 +38,14 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; only a local session may leave it unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows in the shared folder, their lineage cut."""
-    shared_folder(df.sparkSession)
+    """The rows in the folder that ``spark.checkpoint.dir`` names, their lineage cut.
+
+    Where the session names none, they go to a folder of the process's own below the warehouse.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(fresh_folder(df.sparkSession, "checkpoints"))
     return df.checkpoint()
 
 
@@ -80,10 +74,12 @@ def per_document(docs: DataFrame, columns: str, result: Callable[[str], tuple])
     return docs.select("doc_id", "text").mapInArrow(rows, schema)
 
 
-def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows again, in batches of some ``PIECE_BYTES`` of text or of one row."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The rows again, in batches of some ``PIECE_BYTES`` or of one row; ``column`` holds texts or their sizes."""
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+        lengths = batch.column(column)
+        if not pa.types.is_integer(lengths.type):
+            lengths = pc.fill_null(pc.binary_length(lengths), 0)
         part = np.cumsum(np.asarray(lengths, dtype=np.int64)) // PIECE_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
