@@ -24,7 +24,6 @@ MUTATIONS = {
     "any sector instead of the newest in service": ("cell_site_actual", cells, "latest_per_key", any_row),
     "4G sectors by their own cell id": ("cell_site_actual", cells, "STATION_KEYED", "none"),
     "4G sectors left out": ("cell_site_actual", cells, "SECTOR_KEYED", ("2G",)),
-    "plan codes never matched": ("price_plan_current_prev", price_plan, "clean_code", lambda c: F.lower(c)),
     "expired operators kept": ("porting_feed", porting, "valid_operators", lambda operators, as_of: operators),
     "operators valid on the expiry day only": (
         "effective_dated_lookup", porting, "valid_operators", lambda operators, as_of: operators,

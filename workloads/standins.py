@@ -139,14 +139,15 @@ STANDINS: dict[str, str] = {
     """,
     "mnp_process_mb": """
         select o_orderkey as process_id, case o_orderkey % 50 when 0 then timestamp '1998-06-01
-        08:30:00' when 1 then timestamp '1998-06-06 08:40:00' when 2 then timestamp '1998-06-06
-        08:39:59' when 3 then timestamp '1998-06-01 08:29:59' else o_orderdate end as fd, case when
-        o_orderkey % 2 = 0 then 6 else 3 end as status, o_custkey as ban, concat('77',cast(o_custkey
-        as string)) as mob_num, o_custkey % 4 as market_id, o_custkey % 6 as account_type_id,
-        concat('70',cast(o_orderkey as string)) as tmp_mob_num from orders
+        08:30:00' when 4 then timestamp '1998-06-06 08:40:00' when 2 then timestamp '1998-06-06
+        08:39:59' when 6 then timestamp '1998-06-01 08:29:59' when 8 then timestamp '1998-06-03
+        12:00:00' else o_orderdate end as fd, case when o_orderkey % 2 = 0 then 6 else 3 end as
+        status, o_custkey as ban, concat('77',cast(o_custkey as string)) as mob_num, o_custkey % 4
+        as market_id, o_custkey % 6 as account_type_id, concat('70',cast(o_orderkey as string)) as
+        tmp_mob_num from orders
     """,
     "operators": """
-        select n_nationkey as id, n_name as code, case when n_nationkey % 10 in (2, 9) then date
+        select n_nationkey as id, n_name as code, case when n_nationkey % 10 in (4, 9) then date
         '1998-06-01' else date '2999-12-31' end as td from nation
     """,
     "mnp_process_statuses": """
