@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import checkpointed, id_type, per_document
+from .text import arrow_schema, checkpointed, id_type, text_key
 
 BITS, SEED, SHINGLE = 3, 42, 3
 SEGMENTS, WIDTH = 4, 16
@@ -157,15 +157,19 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     return pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_link_rows, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id for every row of ``docs``.
+def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, print) of every row, and (of, root, least) of every different fingerprint ``of``."""
+    schema = f"doc_id {id_type(docs)}, text_key long, print long"
+    arrow = arrow_schema(schema)
 
-    The component of a fingerprint is all that links of ``BITS`` or fewer differing
-    bits reach; its id is the least doc_id, null if all its ids are null. Null and
-    empty texts have the fingerprint 0.
-    """
-    kind = id_type(docs)
-    prints = checkpointed(per_document(docs, "print long", lambda text: (fingerprint(text),)))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fingerprint(text or "") for text in batch.column("text").to_pylist()]
+            ids = batch.column("doc_id").cast(arrow.field(0).type)
+            yield pa.RecordBatch.from_arrays([ids, batch.column("text_key"), pa.array(found, pa.int64())], schema=arrow)
+
+    keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
+    prints = checkpointed(keyed.mapInArrow(rows, schema))
     least = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
     roots = components(fingerprint_links(least))
     rooted = checkpointed(
@@ -173,21 +177,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.col("print").alias("of"), F.coalesce("root", "print").alias("root"), "least"
         )
     )
+    return prints, rooted
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id for every row of ``docs``.
+
+    The component of a fingerprint is all that links of ``BITS`` or fewer differing
+    bits reach; its id is the least doc_id, null if all its ids are null. Null and
+    empty texts have the fingerprint 0.
+    """
+    prints, rooted = _rooted(docs)
     named = rooted.groupBy(F.col("root").alias("by")).agg(F.min("least").alias("component_id"))
     labels = rooted.join(named, rooted["root"] == named["by"]).select("of", "component_id")
     return prints.join(labels, prints["print"] == labels["of"]).select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
-        F.col("component_id").cast(kind),
+        F.col("component_id").cast(id_type(docs)),
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component: that of the component's id, of repeated ids the least text.
+    """One row of ``docs`` for each component: that of the least doc_id (null last), of one id the text of the least hash.
 
-    Rows without an id are kept only where no row of their component has one.
+    Components are told apart by their root, as ids can be null or stand in several components.
     """
-    marked = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    wanted = marked.select(F.col("component_id").alias("wanted")).distinct()
-    kept = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["wanted"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    prints, rooted = _rooted(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    firsts = prints.groupBy("print").agg(F.min(order).alias("first"))
+    chosen = firsts.join(rooted, firsts["print"] == rooted["of"]).groupBy("root").agg(F.min("first").alias("first"))
+    wanted = chosen.select(F.col("first.doc_id").alias("wanted"), F.col("first.text_key").alias("wanted_text"))
+    own = docs["doc_id"].eqNullSafe(wanted["wanted"]) & (text_key(docs["text"]) == wanted["wanted_text"])
+    return docs.join(wanted, own, "left_semi").dropDuplicates(["doc_id", "text"])

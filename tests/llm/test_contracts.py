@@ -196,6 +196,14 @@ def test_one_document_of_each_group_stays(edges):
     assert bag(r.doc_id for r in kept.collect()) == bag(expected)
 
 
+def test_each_group_keeps_one_row_whatever_the_ids(spark):
+    rain, snow, wind, hail = (" ".join(f"{w}{i}" for i in range(40)) for w in ("rain", "snow", "wind", "hail"))
+    rows = [(None, rain), (None, snow), (None, rain), (5, wind), (5, hail), (None, hail), (7, hail), (8, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = bag((r.doc_id, r.text or "") for r in simhash.one_of_each(df).collect())
+    assert kept == bag([(None, rain), (None, snow), (5, wind), (5, hail), (8, "")])
+
+
 def test_toxicity(edges, small, labels):
     rows = toxicity.toxicity(small, labels).collect()
     from zlib import crc32
