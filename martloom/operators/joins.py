@@ -86,8 +86,9 @@ def first_match(
     """The first of several candidate columns whose trimmed value is a known key.
 
     The candidates become rows, so one join replaces a left join per candidate. The rows
-    carry what ``df`` has and are put together again by ``row_key``, which must be unique
-    in ``df`` and not NULL, so ``df`` itself is computed once.
+    carry what ``df`` has and are put together again by ``row_key`` and all their columns,
+    so ``df`` itself is computed once. Every row stays, also where ``row_key`` is NULL or
+    repeated; rows equal in all columns are counted and handed on as often.
     """
     keys = known.select(F.trim(known_key).alias("_known_key")).distinct()
     tries = df.select(
@@ -96,13 +97,14 @@ def first_match(
     ).select("_row", F.col(f"_row.{row_key}").alias("_row_key"), "_place", "_try")
     best = (
         tries.join(keys, F.col("_try") == F.col("_known_key"), "left")
-        .groupBy("_row_key")
+        .groupBy("_row_key", "_row")
         .agg(
-            F.any_value("_row").alias("_row"),
+            F.count_if(F.col("_place") == 0).alias("_copies"),
             F.min_by("_known_key", F.when(F.col("_known_key").isNotNull(), F.col("_place"))).alias("_first"),
         )
     )
-    return best.select("_row.*", F.col("_first").alias(out))
+    each = best.select("_row", "_first", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
+    return each.select("_row.*", F.col("_first").alias(out))
 
 
 def valid_on(

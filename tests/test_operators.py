@@ -80,6 +80,14 @@ def test_first_match_prefers_earlier_candidates(spark):
     assert rows(got, "id", "hit") == [(1, "10"), (2, "20"), (3, "30"), (4, None)]
 
 
+def test_first_match_keeps_every_row_whatever_its_key(spark):
+    known = spark.createDataFrame([("10",), ("20",)], "n string")
+    data = [(None, "10"), (None, "20"), (None, "99"), (1, "10"), (1, "20"), (2, "20"), (2, "20")]
+    df = spark.createDataFrame(data, "id int, a string")
+    got = [tuple(r) for r in joins.first_match(df, "id", ["a"], known, "n", "hit").collect()]
+    assert sorted(map(repr, got)) == sorted(repr((i, a, None if a == "99" else a)) for i, a in data)
+
+
 @pytest.mark.parametrize("last_day, open_ended, expected", [
     (True, True, [1, 2, 4]), (False, True, [2, 4]), (True, False, [1, 2]), (False, False, [2]),
 ])
