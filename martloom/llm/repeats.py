@@ -16,7 +16,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,13 +84,8 @@ def window_hashes(words: np.ndarray, starts: np.ndarray, size: int, base: np.uin
     return _mixed(_ranges(words, starts, starts + size, base))
 
 
-def _row_hash(data: bytes) -> int:
-    """Tells rows of one doc_id apart that differ in text; few share an id, so 32 bits do."""
-    return xxhash.xxh32_intdigest(data) - (1 << 31)
-
-
 def _packed_rows(schema: pa.Schema):
-    """(doc_id, packed, size): texts compressed better than the shuffle would, as they cross it once."""
+    """(doc_id, text_hash, packed, size): texts compressed better than the shuffle would, as they cross it once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=6).compress
@@ -99,7 +93,8 @@ def _packed_rows(schema: pa.Schema):
             texts = [t.as_py() or b"" for t in batch.column("text").cast(pa.binary())]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(map(pack, texts), pa.binary()), sizes], schema=schema
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(map(pack, texts), pa.binary()), sizes],
+                schema=schema,
             )
 
     return rows
@@ -114,12 +109,12 @@ Anchors = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
-    """(key, doc_id, at): one row per anchor; ~at instead of at says that the key is known to repeat."""
+    """(key, row_key, at): one row per anchor; ~at instead of at says that the key is known to repeat."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             keys, places, owners = [], [], []
-            ids = batch.column("doc_id")
+            ids = batch.column("row_key")
             for number, text in enumerate(batch.column("text").cast(pa.binary())):
                 words = word_hashes(text.as_py() or b"")
                 if len(words) >= window:
@@ -146,7 +141,7 @@ def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
 
 
 def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, (doc_id, at) of those whose key has two rows or is known to repeat."""
+    """Of rows sorted by key, (row_key, at) of those whose key has two rows or is known to repeat."""
     last, weight, waiting = None, 0, None
     for batch in batches:
         n = batch.num_rows
@@ -162,7 +157,7 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         total[0] += weight
         keep = total[run] >= 2
         places = pa.array(np.where(at < 0, ~at, at))
-        rows = pa.RecordBatch.from_arrays([batch.column("doc_id"), places], ["doc_id", "at"])
+        rows = pa.RecordBatch.from_arrays([batch.column("row_key"), places], ["row_key", "at"])
         if waiting is not None and not fresh[0] and keep[0]:
             yield waiting
         if fresh.any() or keep[-1]:
@@ -175,29 +170,29 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _window_rows(window: int, reach: int, schema: pa.Schema):
-    """(k1, k2, doc_id, place): the windows that repeated anchors can belong to.
+    """(k1, k2, doc_id, text_hash, start): the windows that repeated anchors can belong to.
 
-    ``place`` is the row's hash and the start. The low half of ``k2`` counts the windows from
+    The low half of ``k2`` counts the windows from
     there on that are known to stand earlier in this task's rows; without any it is part of the key.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "size"):
             batch = batch.filter(batch.column("at").is_valid())
-            ids, marks = batch.column("doc_id"), batch.column("at")
+            ids, texts, marks = batch.column("doc_id"), batch.column("text_hash"), batch.column("at")
             held = [
-                (doc_id is not None, doc_id, _row_hash(data), number, data)
-                for number, (doc_id, data) in enumerate(zip(ids.to_pylist(), _unpacked(batch)))
+                (doc_id is not None, doc_id, row, number, data)
+                for number, (doc_id, row, data) in enumerate(zip(ids.to_pylist(), texts.to_pylist(), _unpacked(batch)))
             ]
             held.sort(key=lambda h: (h[0], h[1] if h[0] else 0, h[2]))
-            ones, twos, starts, owners, hashes = [], [], [], [], []
+            ones, twos, starts, owners = [], [], [], []
             before = None
             for _, doc_id, row, number, data in held:
                 if before == (doc_id, row):  # a repeated row
                     continue
                 before = doc_id, row
                 words = word_hashes(data)
-                if len(words) < window:  # the marks are of another row of this id
+                if len(words) < window:  # the marks are of another row of this row_key
                     continue
                 at = np.asarray(marks[number].values)
                 near = np.zeros(len(words) - window + 2, dtype=np.int32)
@@ -211,10 +206,9 @@ def _window_rows(window: int, reach: int, schema: pa.Schema):
                     twos.append(window_hashes(words, start, window, _TWO))
                     starts.append(start)
                     owners.append(np.full(len(start), number))
-                    hashes.append(np.full(len(start), row, dtype=np.int32))
             if not starts:
                 continue
-            one, two, start, owner, row = map(np.concatenate, (ones, twos, starts, owners, hashes))
+            one, two, start, owner = map(np.concatenate, (ones, twos, starts, owners))
             order = np.lexsort((two, one))  # stable: of equal windows the earliest comes first
             later = np.zeros(len(one), dtype=bool)
             later[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
@@ -225,41 +219,40 @@ def _window_rows(window: int, reach: int, schema: pa.Schema):
             length = np.where(later[heads], np.diff(np.append(heads, len(one))), 0)
             one = np.where(later, _mixed(one + (np.arange(len(one), dtype=np.uint64) + np.uint64(1)) * _BASE), one)[heads]
             two = (two[heads] >> np.uint64(32) << np.uint64(32)) | length.astype(np.uint64)
-            place = (row[heads].astype(np.int64) << 32) | start[heads]
-            yield from handed_back(
-                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), ids.take(pa.array(owner[heads])), pa.array(place)],
-                schema,
-            )
+            rows_of = pa.array(owner[heads])
+            places = [ids.take(rows_of), texts.take(rows_of), pa.array(start[heads].astype(np.int32))]
+            yield from handed_back([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), *places], schema)
 
     return rows
 
 
 def _later_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by window hash and place, those that are not their hash's first: (doc_id, place, later)."""
+    """Of rows sorted by window hash and place, those that are not their hash's first: (doc_id, text_hash, start, later)."""
     last, moved_on = None, False
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        k1, k2, place = (np.asarray(batch.column(c)) for c in ("k1", "k2", "place"))
+        k1, k2, text, start = (np.asarray(batch.column(c)) for c in ("k1", "k2", "text_hash", "start"))
         later = k2 & 0xFFFFFFFF
         docs = batch.column("doc_id")
         fresh, again = np.ones(n, dtype=bool), np.zeros(n, dtype=bool)
         fresh[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
-        again[1:] = _same(docs.slice(1), docs.slice(0, n - 1)) & (place[1:] == place[:-1])
+        again[1:] = _same(docs.slice(1), docs.slice(0, n - 1)) & (text[1:] == text[:-1]) & (start[1:] == start[:-1])
         if last is not None:
             fresh[0] = (k1[0], k2[0]) != last[:2]
-            again[0] = (docs[0].as_py(), place[0]) == last[2:]
+            again[0] = (docs[0].as_py(), text[0], start[0]) == last[2:]
         # A run's first place may stand on several rows: a document repeated in full.
         steps = np.cumsum(~fresh & ~again)
         head = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
         moved = np.where(head >= 0, steps > steps[np.maximum(head, 0)], moved_on | (steps > 0))
-        last, moved_on = (k1[-1], k2[-1], docs[n - 1].as_py(), place[-1]), bool(moved[-1])
+        last, moved_on = (k1[-1], k2[-1], docs[n - 1].as_py(), text[-1], start[-1]), bool(moved[-1])
         keep = (later > 0) | moved
         if keep.any():
-            out = batch.select(["doc_id", "place"]).filter(pa.array(keep))
+            names = ["doc_id", "text_hash", "start"]
+            out = batch.select(names).filter(pa.array(keep))
             yield pa.RecordBatch.from_arrays(
-                [*out.columns, pa.array(np.maximum(later[keep], 1).astype(np.int32))], ["doc_id", "place", "later"]
+                [*out.columns, pa.array(np.maximum(later[keep], 1).astype(np.int32))], [*names, "later"]
             )
 
 
@@ -271,15 +264,14 @@ def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
 def _cut_rows(window: int, result: Callable[[list, np.ndarray], tuple], schema: pa.Schema):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "size"):
-            spans, found = batch.column("spans"), []
+            spans, texts, found = batch.column("spans"), batch.column("text_hash").to_pylist(), []
             for number, data in enumerate(_unpacked(batch)):
                 words = data.split()
                 gone = np.zeros(len(words) + 1, dtype=np.int32)
                 if spans[number].is_valid:
                     own = spans[number].values
-                    place = np.asarray(own.field("place"))
-                    mine = place >> 32 == _row_hash(data)
-                    start, later = place[mine] & 0xFFFFFFFF, np.asarray(own.field("later"))[mine]
+                    mine = np.asarray(own.field("text_hash")) == texts[number]
+                    start, later = (np.asarray(own.field(c))[mine] for c in ("start", "later"))
                     np.add.at(gone, start, 1)
                     np.add.at(gone, start + later - 1 + window, -1)
                 found.append(result(words, np.cumsum(gone[:-1]) > 0))
@@ -315,34 +307,36 @@ def without_repeats(docs: DataFrame, window: int, anchors: Anchors, reach: int,
     of one hash at one offset of at most ``reach`` from their start.
     """
     kind = id_type(docs)
-    docs = docs.select("doc_id", "text")
-    packed = f"doc_id {kind}, packed binary, size long"
-    # Joins are on a hash of the id, also of a null one, so that one exchange serves a group and its join.
-    id_hash = F.xxhash64("doc_id")
-    texts = docs.mapInArrow(_packed_rows(arrow_schema(packed)), packed).withColumn("id_hash", id_hash)
-    marks = f"key long, doc_id {kind}, at int"
-    by_id = (
-        docs.mapInArrow(_anchor_rows(anchors, window, arrow_schema(marks)), marks)
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    packed = f"doc_id {kind}, text_hash long, packed binary, size long"
+    # A hash of id and text, so that a group is one text also where ids are null or repeat; one exchange serves a group and its join.
+    row_key = F.xxhash64("doc_id", "text_hash")
+    texts = docs.mapInArrow(_packed_rows(arrow_schema(packed)), packed).withColumn("row_key", row_key)
+    marks = "key long, row_key long, at int"
+    by_row = (
+        docs.select("text", row_key.alias("row_key"))
+        .mapInArrow(_anchor_rows(anchors, window, arrow_schema(marks)), marks)
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_repeated_rows, f"doc_id {kind}, at int")
-        .groupBy(id_hash.alias("mark_of"))
-        .agg(F.collect_list("at").alias("at"))
+        .mapInArrow(_repeated_rows, "row_key long, at int")
+        .groupBy(F.col("row_key").alias("mark_of"))
+        .agg(F.collect_set("at").alias("at"))  # copies of a row name the same places
     )
-    windows = f"k1 long, k2 long, doc_id {kind}, place long"
+    place = f"doc_id {kind}, text_hash long, start int"
+    windows = f"k1 long, k2 long, {place}"
     spans = (
-        texts.join(by_id, texts["id_hash"] == by_id["mark_of"], "left")
-        .select("doc_id", "packed", "size", "at")
+        texts.join(by_row, texts["row_key"] == by_row["mark_of"], "left")
+        .select("doc_id", "text_hash", "packed", "size", "at")
         .mapInArrow(_window_rows(window, reach, arrow_schema(windows)), windows)
         .repartition("k1")
-        .sortWithinPartitions("k1", "k2", F.asc_nulls_first("doc_id"), "place")
-        .mapInArrow(_later_rows, f"doc_id {kind}, place long, later int")
-        .groupBy(id_hash.alias("span_of"))
-        .agg(F.collect_list(F.struct("place", "later")).alias("spans"))
+        .sortWithinPartitions("k1", "k2", F.asc_nulls_first("doc_id"), "text_hash", "start")
+        .mapInArrow(_later_rows, f"{place}, later int")
+        .groupBy(row_key.alias("span_of"))
+        .agg(F.collect_set(F.struct("text_hash", "start", "later")).alias("spans"))
     )
     out = f"doc_id {kind}, {result[1]}"
     return (
-        texts.join(spans, texts["id_hash"] == spans["span_of"], "left")
-        .select("doc_id", "packed", "size", "spans")
+        texts.join(spans, texts["row_key"] == spans["span_of"], "left")
+        .select("doc_id", "text_hash", "packed", "size", "spans")
         .mapInArrow(_cut_rows(window, result[0], arrow_schema(out)), out)
     )

@@ -90,6 +90,22 @@ def test_repeats_of_one_id_and_of_none(spark):
     assert bag(rows) == bag([(None, 25, 0), (1, 25, 25), (1, 25, 25), (1, 26, 25), (2, 25, 25)])
 
 
+def test_repeats_tell_texts_of_one_id_apart_by_more_than_32_bits(spark):
+    import xxhash
+
+    run = " ".join(f"m{i}" for i in range(25))
+    seen, pair = {}, None
+    for i in range(1 << 20):  # two texts of one 32-bit hash, each with a repeat of the first document
+        text = f"{run} tail{i}" if i % 2 else f"head{i} {run}"
+        other = seen.setdefault(xxhash.xxh32_intdigest(text), text)
+        if other[0] != text[0]:
+            pair = other, text
+            break
+    df = spark.createDataFrame([(1, run), *((9, t) for t in pair)], "doc_id long, text string").coalesce(1)
+    rows = substring.substring_dedup(df, result=repeats.TEXT).where("doc_id = 9").collect()
+    assert bag(r.kept_text for r in rows) == bag(t.replace(run, "").strip() for t in pair)
+
+
 def test_kept_texts(edges):
     kept = {r.doc_id: r.kept_text for r in substring.substring_dedup(edges, result=repeats.TEXT).collect()}
     assert kept[7] == "" and kept[8].endswith("but not quite") and kept[10] == "Ünlike start:"
