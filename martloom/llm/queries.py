@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and of the pipeline, over whole tables."""
+"""The registered queries of the operators and of the pipeline, over whole tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, pii, quality, secrets, simhash, substring, suffixes, toxicity
+from . import bpe, centroids, decontaminate, licenses, pii, prefixes, quality, secrets, simhash, substring, suffixes, topk, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -68,6 +68,19 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clusters(table(spark, folder, "embeddings"))
+
+
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return topk.top_inner_products(vectors.where("vec_id % 50 = 0"), vectors)
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, folder, "conversations"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,6 +100,9 @@ QUERIES = {
         op8_toxicity,
         op9_bpe_encoding,
         op10_personal_data,
+        op11_centroid_clustering,
+        op12_exact_top_k,
+        op13_conversation_prefix_trie,
         pipeline,
     )
 }

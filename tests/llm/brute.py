@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -168,3 +169,69 @@ def personal_data(docs):
         }
         base = ",".join(f"{k}:{a}:{b}" for k, v in spans.items() for a, b in v)
         yield (doc_id, *map(len, spans.values()), sha(base), base)
+
+
+def _usable(vector):
+    return vector is not None and all(x is not None and np.isfinite(x) for x in vector)
+
+
+def clusters(rows, k=8, rounds=10, size=64, scale=1024, seed=3):
+    kept = [(i, [int(np.floor(np.float64(x) * scale)) for x in v]) for i, v in rows if _usable(v) and len(v) == size]
+    kept.sort(key=lambda r: (r[0] is None, sha(f"{seed}:{r[0]}"), r[1]))
+    centroids = [v for _, v in kept[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        groups = {}
+        for _, v in kept:
+            groups.setdefault(nearest(v)[1], []).append(v)
+        for n, members in groups.items():
+            centroids[n] = [sum(x) // len(members) for x in zip(*members)]
+    found = [(i, *nearest(v)) for i, v in kept]
+    total = {n: sum(d for _, d, m in found if m == n) for n in range(k)}
+    return [(i, n, d, total[n], sum(total.values()), sha(",".join(map(str, centroids[n])))) for i, d, n in found]
+
+
+def top_products(rows, k=5, scale=256, every=50):
+    whole = {(i, tuple(int(np.floor(np.float64(x) * scale)) for x in v)) for i, v in rows if _usable(v)}
+    out = []
+    for query, q in whole:
+        if query is not None and query % every == 0:
+            scores = sorted((-sum(a * b for a, b in zip(q, v)), i is None, i or 0, i) for i, v in whole if i != query)
+            out += [(query, n + 1, s[3], -s[0]) for n, s in enumerate(scores[:k])]
+    return out
+
+
+def trie(rows):
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+
+    def order(t):
+        return t[:2], hashlib.md5(f"{len(t[2])}:{t[2]}{t[3]}".encode()).digest()
+
+    own = {c: [t[2:] for t in sorted(turns, key=order)] for c, turns in own.items()}
+    members, ends = {}, {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        path = tuple(own.get(int(np.fix(c / 100)) * 100, [])[:h] + turns[h:])
+        ends.setdefault(path, []).append(c)
+        for d in range(len(path) + 1):
+            members.setdefault(path[:d], []).append(c)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children.get(node, [])
+        leaves[node] = sum(leaves[b] for b in below) if below else 1
+        saved[node] = sum(saved[b] for b in below) + ((len(members[node]) - 1) * len(node[-1][1]) if node else 0)
+    return [
+        (min(m), len(node), min(members[node[:-1]]) if node else None, len(m), len(children.get(node, [])), leaves[node], saved[node],
+         sha(",".join(map(str, sorted(ends.get(node, []))))))
+        for node, m in members.items()
+    ]

@@ -337,7 +337,7 @@ def test_repeated_rows_have_a_defined_result(edges, items, labels, name):
 
 
 def test_every_operator_is_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
 
 
 @pytest.mark.parametrize("name", ORACLES)
@@ -347,7 +347,7 @@ def test_sql_gives_the_same(spark, name):
     folder = SMALL.replace("0.001", "0.01")
     df = queries.QUERIES[name](spark, folder)
     with duckdb.connect() as db:
-        for table in ("documents", "benchmark"):
+        for table in ("documents", "benchmark", "embeddings", "conversations"):
             db.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
         columns = ", ".join(df.columns)
         expected = db.execute(f"select {columns} from ({ORACLES[name]}) q").fetchall()
