@@ -6,6 +6,9 @@ windows' 96-bit hashes are sorted, and equal neighbours are told apart by place.
 A task first settles repeats among its own documents and sends one row for each
 different hash, so a passage in a third of all documents is not a third of the
 shuffled rows, and no pairs are made.
+
+Rows are shuffled by the hundred for every document, so their columns are few and in an
+order that compresses: random bits first, small numbers after them, zeros last.
 """
 
 from __future__ import annotations
@@ -16,86 +19,110 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.sinks.folders import materialise
+
 from .text import arrow_schema, handed_back, id_type, pieces
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True  # fixed value: what parts words
-_BASE, _ONE, _TWO = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
+_ONE, _TWO = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 _BLOCK = 1 << 22
+#: Keys for rows that are settled already and need no partner, so that these spread over the tasks.
+_SPREAD = 1 << 20
+#: Longest word whose bytes and length fit 64 bits.
+_SHORT = 7
+
+#: A document: its id (0 for a null one), whether that is null, and what tells its texts apart.
+DOCUMENT = ["id", "no_id", "tie"]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spread 64-bit values so that nearby ones have nothing in common."""
+    """Spread 64-bit values so that nearby ones have nothing in common; different values stay different."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power_tables(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2**64."""
-    have = _powers.get(int(base))
-    if have is None or len(have[0]) < n:
-        size = max(1 << 14, 1 << (n - 1).bit_length())
-        inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        tables = []
-        for b in (base, inverse):
-            table = np.full(size, b, dtype=np.uint64)
-            table[0] = 1
-            tables.append(np.multiply.accumulate(table))
-        have = _powers[int(base)] = (tables[0], tables[1])
-    return have[0][:n], have[1][:n]
-
-
-def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64) -> np.ndarray:
-    """A hash of each range of values that depends on its values and their order alone."""
-    up, down = _power_tables(base, len(values) + 1)
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    return (sums[ends] - sums[starts]) * down[starts]
-
-
 def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash of each word; blocks keep the memory small for very long texts."""
+    """64 bits for each word: bytes and length of a short one, so that these never collide, else XXH64.
+
+    Blocks keep the memory small for very long texts.
+    """
     found, at = [], 0
+    masks = np.array([(1 << 8 * n) - 1 for n in range(_SHORT + 1)], dtype=np.uint64)
     while at < len(data):
         end = at + _BLOCK
         while end < len(data) and not _SPACE[data[end]]:
             end += 1
-        a = np.frombuffer(data[at:end], dtype=np.uint8)
-        inside = np.zeros(len(a) + 2, dtype=np.int8)
-        inside[1:-1] = ~_SPACE[a]
+        block = data[at:end]
+        inside = np.zeros(len(block) + 2, dtype=np.int8)
+        inside[1:-1] = ~_SPACE[np.frombuffer(block, dtype=np.uint8)]
         edges = np.diff(inside)
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        sums = _ranges(a.astype(np.uint64) + np.uint64(1), starts, ends, _BASE)
-        found.append(_mixed(sums + (ends - starts).astype(np.uint64) * _TWO))
+        lengths = ends - starts
+        eight = np.ndarray(len(block), dtype="<u8", buffer=block + bytes(8), strides=(1,))
+        words = (eight[starts] & masks[np.minimum(lengths, _SHORT)]) | (lengths.astype(np.uint64) << np.uint64(56))
+        long = np.flatnonzero(lengths > _SHORT)
+        words[long] = np.fromiter(
+            (xxhash.xxh64_intdigest(block[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist())), np.uint64, len(long)
+        )
+        found.append(_mixed(words))
         at = end
     return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
 
 
-def window_hashes(words: np.ndarray, starts: np.ndarray, size: int, base: np.uint64 = _ONE) -> np.ndarray:
-    """A 64-bit hash of the ``size`` words from each start on."""
-    return _mixed(_ranges(words, starts, starts + size, base))
+def window_hashes(words: np.ndarray, starts: np.ndarray, size: int, lane: np.uint64 = _ONE) -> np.ndarray:
+    """A 64-bit hash of the ``size`` words from each start on.
+
+    Neighbours are hashed to pairs, pairs to fours and so on; a window is put together from such runs.
+    Every step mixes, so no pattern of words makes windows collide.
+    """
+    run, offset, done = 1, 0, None
+    while True:
+        if size & run:
+            part = words[starts + offset]
+            done = part if done is None else _mixed(done * lane + part)
+            offset += run
+        if 2 * run > size:
+            return _mixed(done ^ lane)
+        words = _mixed(words[:-run] * lane + words[run:])
+        run *= 2
+
+
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """id, no_id, tie and text of each row; tie is 0 for an id with one text only, as nearly all have.
+
+    Else it is a hash of the text. That keeps what is shuffled with every word short. The ids in question
+    are written to the shared folder first, so that the join with them is planned by their size.
+    """
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    several = rows.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("several"))
+    several = several.agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high")).where("low <> high")
+    rows = rows.join(materialise(several.select("several"), "repeated-ids"), F.col("doc_id") == F.col("several"), "left")
+    alone = F.col("doc_id").isNotNull() & F.col("several").isNull()
+    return rows.select(
+        F.coalesce("doc_id", F.lit(0).cast(id_type(docs))).alias("id"),
+        F.col("doc_id").isNull().cast("int").alias("no_id"),
+        F.when(alone, F.lit(0).cast("long")).otherwise(F.col("text_hash")).alias("tie"),
+        "text",
+    )
 
 
 def _packed_rows(schema: pa.Schema):
-    """(doc_id, text_hash, packed, size): texts compressed better than the shuffle would, as they cross it once."""
+    """A document's columns, packed, size: texts compressed better than the shuffle would, as they cross it once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=6).compress
         for batch in pieces(batches, "text"):
             texts = [t.as_py() or b"" for t in batch.column("text").cast(pa.binary())]
             sizes = pa.array([len(t) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(map(pack, texts), pa.binary()), sizes],
-                schema=schema,
-            )
+            arrays = [*(batch.column(c) for c in DOCUMENT), pa.array(map(pack, texts), pa.binary()), sizes]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return rows
 
@@ -109,12 +136,11 @@ Anchors = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
-    """(key, row_key, at): one row per anchor; ~at instead of at says that the key is known to repeat."""
+    """(key, at, document): one row per anchor; ~at instead of at says that the key is known to repeat."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             keys, places, owners = [], [], []
-            ids = batch.column("row_key")
             for number, text in enumerate(batch.column("text").cast(pa.binary())):
                 words = word_hashes(text.as_py() or b"")
                 if len(words) >= window:
@@ -124,24 +150,21 @@ def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
                     owners.append(np.full(len(at), number))
             if not keys:
                 continue
-            key, at, owner = np.concatenate(keys), np.concatenate(places), np.concatenate(owners)
+            key, at, owner = np.concatenate(keys), np.concatenate(places), pa.array(np.concatenate(owners))
             _, first, which, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-            twice = count[which] > 1
+            at = at.astype(np.int32)
+            at = np.where(count[which] > 1, ~at, at)
             spare = np.ones(len(key), dtype=bool)
             spare[first] = False
-            # All but one occurrence here are settled; under keys of their own they spread over the tasks.
-            own = _mixed(key + (np.arange(len(key), dtype=np.uint64) + np.uint64(1)) * _BASE)
-            key = np.where(spare, own, key)
-            at = at.astype(np.int32)
-            yield from handed_back(
-                [pa.array(key.view(np.int64)), ids.take(pa.array(owner)), pa.array(np.where(twice, ~at, at))], schema
-            )
+            key = key.view(np.int64)
+            key[spare] = np.arange(np.count_nonzero(spare)) % _SPREAD
+            yield from handed_back([pa.array(key), pa.array(at), *(batch.column(c).take(owner) for c in DOCUMENT)], schema)
 
     return rows
 
 
 def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, (row_key, at) of those whose key has two rows or is known to repeat."""
+    """Of rows sorted by key, document and place of those whose key has two rows or is known to repeat."""
     last, weight, waiting = None, 0, None
     for batch in batches:
         n = batch.num_rows
@@ -157,7 +180,7 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         total[0] += weight
         keep = total[run] >= 2
         places = pa.array(np.where(at < 0, ~at, at))
-        rows = pa.RecordBatch.from_arrays([batch.column("row_key"), places], ["row_key", "at"])
+        rows = pa.RecordBatch.from_arrays([*(batch.column(c) for c in DOCUMENT), places], [*DOCUMENT, "at"])
         if waiting is not None and not fresh[0] and keep[0]:
             yield waiting
         if fresh.any() or keep[-1]:
@@ -170,113 +193,90 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _window_rows(window: int, reach: int, schema: pa.Schema):
-    """(k1, k2, doc_id, text_hash, start): the windows that repeated anchors can belong to.
+    """(k1, place, document, settled): the windows that repeated anchors can belong to.
 
-    The low half of ``k2`` counts the windows from
-    there on that are known to stand earlier in this task's rows; without any it is part of the key.
+    ``place`` is 32 more bits of hash and the start. Windows that stand earlier among the task's own rows
+    are settled: they go on as runs, with the run's length in place of the hash.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "size"):
             batch = batch.filter(batch.column("at").is_valid())
-            ids, texts, marks = batch.column("doc_id"), batch.column("text_hash"), batch.column("at")
-            held = [
-                (doc_id is not None, doc_id, row, number, data)
-                for number, (doc_id, row, data) in enumerate(zip(ids.to_pylist(), texts.to_pylist(), _unpacked(batch)))
-            ]
-            held.sort(key=lambda h: (h[0], h[1] if h[0] else 0, h[2]))
+            marks = batch.column("at")
+            names = list(zip(*(batch.column(c).to_pylist() for c in ("id", "no_id", "tie"))))
+            texts = _unpacked(batch)
             ones, twos, starts, owners = [], [], [], []
-            before = None
-            for _, doc_id, row, number, data in held:
-                if before == (doc_id, row):  # a repeated row
-                    continue
-                before = doc_id, row
-                words = word_hashes(data)
-                if len(words) < window:  # the marks are of another row of this row_key
-                    continue
+            for number in sorted(range(len(names)), key=lambda n: (1 - names[n][1], names[n][0], names[n][2])):
+                words = word_hashes(texts[number])
                 at = np.asarray(marks[number].values)
                 near = np.zeros(len(words) - window + 2, dtype=np.int32)
-                low, high = np.maximum(at - reach, 0), np.minimum(at + 1, len(words) - window + 1)
-                fits = low < high
-                np.add.at(near, low[fits], 1)
-                np.add.at(near, high[fits], -1)
+                np.add.at(near, np.maximum(at - reach, 0), 1)
+                np.add.at(near, np.minimum(at + 1, len(words) - window + 1), -1)
                 start = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-                if len(start):
-                    ones.append(window_hashes(words, start, window, _ONE))
-                    twos.append(window_hashes(words, start, window, _TWO))
-                    starts.append(start)
-                    owners.append(np.full(len(start), number))
+                ones.append(window_hashes(words, start, window, _ONE))
+                twos.append(window_hashes(words, start, window, _TWO) >> np.uint64(32))
+                starts.append(start)
+                owners.append(np.full(len(start), number))
             if not starts:
                 continue
             one, two, start, owner = map(np.concatenate, (ones, twos, starts, owners))
             order = np.lexsort((two, one))  # stable: of equal windows the earliest comes first
             later = np.zeros(len(one), dtype=bool)
             later[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
-            # Settled windows go on as runs, under keys that spread over the tasks.
             beside = np.zeros(len(one), dtype=bool)
             beside[1:] = later[1:] & later[:-1] & (owner[1:] == owner[:-1]) & (start[1:] == start[:-1] + 1)
             heads = np.flatnonzero(~beside)
-            length = np.where(later[heads], np.diff(np.append(heads, len(one))), 0)
-            one = np.where(later, _mixed(one + (np.arange(len(one), dtype=np.uint64) + np.uint64(1)) * _BASE), one)[heads]
-            two = (two[heads] >> np.uint64(32) << np.uint64(32)) | length.astype(np.uint64)
-            rows_of = pa.array(owner[heads])
-            places = [ids.take(rows_of), texts.take(rows_of), pa.array(start[heads].astype(np.int32))]
-            yield from handed_back([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), *places], schema)
+            length = np.diff(np.append(heads, len(one))).astype(np.uint64)
+            settled = later[heads]
+            one, two, start = one[heads].view(np.int64), two[heads], start[heads].astype(np.uint64)
+            one[settled] = np.arange(np.count_nonzero(settled)) % _SPREAD
+            place = (np.where(settled, length, two) << np.uint64(32)) | start
+            owner = pa.array(owner[heads])
+            document = [batch.column(c).take(owner) for c in DOCUMENT]
+            yield from handed_back([pa.array(one), pa.array(place.view(np.int64)), *document, pa.array(settled.astype(np.int32))], schema)
 
     return rows
 
 
 def _later_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by window hash and place, those that are not their hash's first: (doc_id, text_hash, start, later)."""
-    last, moved_on = None, False
+    """Of rows sorted by window and place, those that are not their window's first: document and number of windows << 32 | start."""
+    last = None
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        k1, k2, text, start = (np.asarray(batch.column(c)) for c in ("k1", "k2", "text_hash", "start"))
-        later = k2 & 0xFFFFFFFF
-        docs = batch.column("doc_id")
-        fresh, again = np.ones(n, dtype=bool), np.zeros(n, dtype=bool)
-        fresh[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
-        again[1:] = _same(docs.slice(1), docs.slice(0, n - 1)) & (text[1:] == text[:-1]) & (start[1:] == start[:-1])
+        k1, place = np.asarray(batch.column("k1")), np.asarray(batch.column("place")).view(np.uint64)
+        settled = np.asarray(batch.column("settled")) > 0
+        k2 = place >> np.uint64(32)
+        fresh = np.ones(n, dtype=bool)
+        fresh[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | settled[:-1]
         if last is not None:
-            fresh[0] = (k1[0], k2[0]) != last[:2]
-            again[0] = (docs[0].as_py(), text[0], start[0]) == last[2:]
-        # A run's first place may stand on several rows: a document repeated in full.
-        steps = np.cumsum(~fresh & ~again)
-        head = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
-        moved = np.where(head >= 0, steps > steps[np.maximum(head, 0)], moved_on | (steps > 0))
-        last, moved_on = (k1[-1], k2[-1], docs[n - 1].as_py(), text[-1], start[-1]), bool(moved[-1])
-        keep = (later > 0) | moved
+            fresh[0] = (k1[0], k2[0], False) != last
+        last = k1[-1], k2[-1], bool(settled[-1])
+        keep = settled | ~fresh
         if keep.any():
-            names = ["doc_id", "text_hash", "start"]
-            out = batch.select(names).filter(pa.array(keep))
-            yield pa.RecordBatch.from_arrays(
-                [*out.columns, pa.array(np.maximum(later[keep], 1).astype(np.int32))], [*names, "later"]
-            )
-
-
-def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """Equal, or both null."""
-    return np.asarray(pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b))))
+            start = place & np.uint64(0xFFFFFFFF)
+            spans = (np.where(settled, k2, np.uint64(1)) << np.uint64(32)) | start
+            documents = [batch.column(c).filter(pa.array(keep)) for c in DOCUMENT]
+            yield pa.RecordBatch.from_arrays([*documents, pa.array(spans[keep].view(np.int64))], [*DOCUMENT, "span"])
 
 
 def _cut_rows(window: int, result: Callable[[list, np.ndarray], tuple], schema: pa.Schema):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "size"):
-            spans, texts, found = batch.column("spans"), batch.column("text_hash").to_pylist(), []
+            spans, found = batch.column("spans"), []
             for number, data in enumerate(_unpacked(batch)):
                 words = data.split()
                 gone = np.zeros(len(words) + 1, dtype=np.int32)
                 if spans[number].is_valid:
-                    own = spans[number].values
-                    mine = np.asarray(own.field("text_hash")) == texts[number]
-                    start, later = (np.asarray(own.field(c))[mine] for c in ("start", "later"))
+                    own = np.asarray(spans[number].values)
+                    start = own & 0xFFFFFFFF
                     np.add.at(gone, start, 1)
-                    np.add.at(gone, start + later - 1 + window, -1)
+                    np.add.at(gone, start + (own >> 32) - 1 + window, -1)
                 found.append(result(words, np.cumsum(gone[:-1]) > 0))
-            arrays = [batch.column("doc_id")]
-            for i, field in enumerate(list(schema)[1:]):
+            ids = pc.if_else(pc.equal(batch.column("no_id"), 1), pa.scalar(None, batch.column("id").type), batch.column("id"))
+            arrays = [ids, batch.column("copies")]
+            for i, field in enumerate(list(schema)[2:]):
                 arrays.append(pa.array([row[i] for row in found], field.type))
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
@@ -306,37 +306,40 @@ def without_repeats(docs: DataFrame, window: int, anchors: Anchors, reach: int,
     hashes for a text's word hashes, so that any two equal windows have an anchor
     of one hash at one offset of at most ``reach`` from their start.
     """
-    kind = id_type(docs)
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    packed = f"doc_id {kind}, text_hash long, packed binary, size long"
-    # A hash of id and text, so that a group is one text also where ids are null or repeat; one exchange serves a group and its join.
-    row_key = F.xxhash64("doc_id", "text_hash")
-    texts = docs.mapInArrow(_packed_rows(arrow_schema(packed)), packed).withColumn("row_key", row_key)
-    marks = "key long, row_key long, at int"
-    by_row = (
-        docs.select("text", row_key.alias("row_key"))
-        .mapInArrow(_anchor_rows(anchors, window, arrow_schema(marks)), marks)
+    document = f"id {id_type(docs)}, no_id int, tie long"
+    packed = f"{document}, packed binary, size long"
+    marks = f"key long, at int, {document}"
+    windows = f"k1 long, place long, {document}, settled int"
+    docs = _told_apart(docs)
+    # Equal rows meet in the map-side aggregate already. Both joins below read this one exchange.
+    texts = (
+        docs.mapInArrow(_packed_rows(arrow_schema(packed)), packed)
+        .groupBy(*DOCUMENT)
+        .agg(F.any_value("packed").alias("packed"), F.any_value("size").alias("size"), F.count("*").alias("copies"))
+    )
+    marked = (
+        docs.mapInArrow(_anchor_rows(anchors, window, arrow_schema(marks)), marks)
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_repeated_rows, "row_key long, at int")
-        .groupBy(F.col("row_key").alias("mark_of"))
+        .mapInArrow(_repeated_rows, f"{document}, at int")
+        .groupBy(*DOCUMENT)
         .agg(F.collect_set("at").alias("at"))  # copies of a row name the same places
     )
-    place = f"doc_id {kind}, text_hash long, start int"
-    windows = f"k1 long, k2 long, {place}"
     spans = (
-        texts.join(by_row, texts["row_key"] == by_row["mark_of"], "left")
-        .select("doc_id", "text_hash", "packed", "size", "at")
+        texts.join(marked, DOCUMENT, "left")
+        .select(*DOCUMENT, "packed", "size", "at")
         .mapInArrow(_window_rows(window, reach, arrow_schema(windows)), windows)
         .repartition("k1")
-        .sortWithinPartitions("k1", "k2", F.asc_nulls_first("doc_id"), "text_hash", "start")
-        .mapInArrow(_later_rows, f"{place}, later int")
-        .groupBy(row_key.alias("span_of"))
-        .agg(F.collect_set(F.struct("text_hash", "start", "later")).alias("spans"))
+        .sortWithinPartitions("k1", "settled", F.shiftright("place", 32), F.desc("no_id"), "id", "tie", "place")
+        .mapInArrow(_later_rows, f"{document}, span long")
+        .groupBy(*DOCUMENT)
+        .agg(F.collect_list("span").alias("spans"))
     )
-    out = f"doc_id {kind}, {result[1]}"
+    out = f"doc_id {id_type(docs, 'id')}, copies long, {result[1]}"
     return (
-        texts.join(spans, texts["row_key"] == spans["span_of"], "left")
-        .select("doc_id", "text_hash", "packed", "size", "spans")
+        texts.join(spans, DOCUMENT, "left")
+        .select(*DOCUMENT, "packed", "size", "copies", "spans")
         .mapInArrow(_cut_rows(window, result[0], arrow_schema(out)), out)
+        .withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        .drop("copies")
     )

@@ -49,8 +49,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def id_type(docs: DataFrame) -> str:
-    return docs.schema["doc_id"].dataType.simpleString()
+def id_type(docs: DataFrame, column: str = "doc_id") -> str:
+    return docs.schema[column].dataType.simpleString()
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

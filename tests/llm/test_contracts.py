@@ -3,6 +3,7 @@
 import hashlib
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 from brute import SMALL
@@ -106,6 +107,42 @@ def test_repeats_tell_texts_of_one_id_apart_by_more_than_32_bits(spark):
     assert bag(r.kept_text for r in rows) == bag(t.replace(run, "").strip() for t in pair)
 
 
+def thue_morse(n):
+    return [bin(i).count("1") % 2 for i in range(n)]
+
+
+@pytest.mark.parametrize("operator, window", [(substring.substring_dedup, 20), (suffixes.suffix_dedup, 50)])
+def test_repeats_of_words_that_a_sum_of_powers_cannot_tell_apart(spark, operator, window):
+    """Words of 1024 letters in the Thue-Morse order and their complements, and windows in that order."""
+    long = ["".join("ab"[bit ^ swap] for bit in thue_morse(1024)) for swap in (0, 1)]
+    texts = [" ".join(long[k] if i % 10 == 0 else f"w{i}" for i in range(60)) for k in (0, 1)]
+    texts += [" ".join(f"{'xy'[bit ^ swap]}" for bit in thue_morse(64)) for swap in (0, 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert bag(map(tuple, operator(df).collect())) == bag(brute.without_repeats(pairs(df), window))
+    assert operator(df).where("doc_id < 2").agg(F.sum("n_removed")).first()[0] == 0
+
+
+def test_word_hashes():
+    words = ["a", "b", "ab", "a\0", "\0a", "1234567", "12345678", "12345679", "é", "x" * 3000, "x" * 3001, "\x1c"]
+    got = repeats.word_hashes((" \t" + "\n ".join(words) + " ").encode())
+    assert len(set(got.tolist())) == len(words)
+    again = repeats.word_hashes(" ".join(words[::-1]).encode())
+    assert again.tolist() == got.tolist()[::-1]
+    many = np.tile(got, 9)
+    for size in (1, 2, 7, 8, 20, 50):
+        starts = np.arange(len(many) - size + 1)
+        hashes = repeats.window_hashes(many, starts, size)
+        same = {tuple(many[i : i + size].tolist()): h for i, h in zip(starts, hashes.tolist())}
+        assert len(set(hashes.tolist())) == len(same)
+        assert all(same[tuple(many[i : i + size].tolist())] == h for i, h in zip(starts, hashes.tolist()))
+
+
+def test_many_copies_of_one_row(spark):
+    run = " ".join(f"m{i}" for i in range(60))
+    df = spark.createDataFrame([(7, run)] * 500 + [(8, run), (None, None), (None, None)], "doc_id long, text string").repartition(9)
+    assert bag(r[:3] for r in map(tuple, substring.substring_dedup(df).collect())) == bag([(7, 60, 0)] * 500 + [(8, 60, 60)] + [(None, 0, 0)] * 2)
+
+
 def test_kept_texts(edges):
     kept = {r.doc_id: r.kept_text for r in substring.substring_dedup(edges, result=repeats.TEXT).collect()}
     assert kept[7] == "" and kept[8].endswith("but not quite") and kept[10] == "Ünlike start:"
