@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.operators.joins import unique_lookup
+
 
 def prior_record(
     records: DataFrame,
@@ -89,7 +91,11 @@ def with_prior(
 ) -> DataFrame:
     """Left rows that refer to records by ``order``, with each record's predecessor.
 
-    The left side, often a long derivation, is used once: predecessors are found for all
-    records, on narrow rows, and not only for keys that the left side would have to name.
+    Where the left side has ``key``, only records of keys that occur there are put in order:
+    a semi join with its different keys comes before the blocks and their windows. The left
+    side is then used twice; exchanges that both uses have in common are run once.
     """
+    if key in left.columns:
+        wanted = unique_lookup(left.select(F.col(key).alias("_wanted")), ["_wanted"])
+        records = records.join(wanted, records[key] == wanted["_wanted"], "left_semi")
     return left.join(prior_record(records, key, order, payload, block), order, "left")

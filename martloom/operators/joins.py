@@ -85,26 +85,27 @@ def first_match(
 ) -> DataFrame:
     """The first of several candidate columns whose trimmed value is a known key.
 
-    The candidates become rows, so one join replaces a left join per candidate. The rows
-    carry what ``df`` has and are put together again by ``row_key`` and all their columns,
-    so ``df`` itself is computed once. Every row stays, also where ``row_key`` is NULL or
-    repeated; rows equal in all columns are counted and handed on as often.
+    Only ``row_key`` and the candidates go through the lookup, as one narrow row per
+    candidate that is not NULL; each of the different (row_key, candidates) that has a known
+    one comes back as one row, and ``df`` is joined with these once. So every row of ``df``
+    stays as it is, also where ``row_key`` is NULL or repeated. Hot candidates are split in the
+    lookup and hot row keys in the last join, as ``unique_lookup`` describes. ``df`` is used
+    twice; exchanges that its derivation has in common for both uses are run once.
     """
-    keys = known.select(F.trim(known_key).alias("_known_key")).distinct()
-    tries = df.select(
-        F.struct(*df.columns).alias("_row"),
-        F.posexplode(F.array(*[F.trim(F.col(c)) for c in candidates])).alias("_place", "_try"),
-    ).select("_row", F.col(f"_row.{row_key}").alias("_row_key"), "_place", "_try")
-    best = (
-        tries.join(keys, F.col("_try") == F.col("_known_key"), "left")
-        .groupBy("_row_key", "_row")
-        .agg(
-            F.count_if(F.col("_place") == 0).alias("_copies"),
-            F.min_by("_known_key", F.when(F.col("_known_key").isNotNull(), F.col("_place"))).alias("_first"),
-        )
+    keys = unique_lookup(known.select(F.trim(known_key).alias("_known_key")), ["_known_key"])
+    tries = F.array(*[F.trim(F.col(c)) for c in candidates])
+    asked = df.select(F.col(row_key).alias("_row_key"), tries.alias("_tries"))
+    asked = asked.select("*", F.posexplode("_tries").alias("_place", "_try")).filter(F.col("_try").isNotNull())
+    found = (
+        asked.join(keys, F.col("_try") == F.col("_known_key"))
+        .groupBy("_row_key", "_tries", F.hash("_row_key", "_tries").alias("_spread"))
+        .agg(F.min("_place").alias("_first"))
     )
-    each = best.select("_row", "_first", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
-    return each.select("_row.*", F.col("_first").alias(out))
+    best = found.select("_row_key", F.col("_tries").alias("_tried"), F.element_at("_tries", F.col("_first") + 1).alias("_hit"))
+    rows = df.select("*", tries.alias("_tries"))
+    return rows.join(
+        best, rows[row_key].eqNullSafe(best["_row_key"]) & (rows["_tries"] == best["_tried"]), "left"
+    ).select(*[rows[c] for c in df.columns], F.col("_hit").alias(out))
 
 
 def valid_on(

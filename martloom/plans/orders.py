@@ -62,7 +62,9 @@ def reached_orders(orders: DataFrame, log: DataFrame, rule: SaleRule, lo, hi) ->
     """Orders of the rule's types with each moment in ``[lo, hi)`` they reached a status.
 
     One row per order and moment. The moments are found and deduplicated first, on
-    three columns, and only then joined with the orders.
+    three columns, and only then joined with the orders. A status is never NULL; saying so keeps
+    all three columns where only the logins are wanted, so that both uses of the moments
+    share one exchange and the log is read once.
     """
     moments = one_per_moment(
         status_transitions(
@@ -76,7 +78,7 @@ def reached_orders(orders: DataFrame, log: DataFrame, rule: SaleRule, lo, hi) ->
             & between_times(F.col("pre_order_status_date"), lo, hi),
             ("fmc_order_id", "pre_order_status_id", "pre_order_status_date"),
         )
-    )
+    ).filter(F.col("status").isNotNull())
     eligible = orders.filter(
         F.col("fmc_type_id").isin(*rule.types) & F.col("login_fttb").isNotNull()
     ).select("id", *_ORDER_COLUMNS)
@@ -89,7 +91,7 @@ def reached_orders(orders: DataFrame, log: DataFrame, rule: SaleRule, lo, hi) ->
 
 
 def with_prior_order(reached: DataFrame, orders: DataFrame) -> DataFrame:
-    """Add the login's latest earlier order: its id, status and type."""
+    """Add the login's latest earlier order: its id, status and type. Only reached logins' orders are looked at."""
     pool = orders.select("id", F.col("login_fttb"), "order_status_id", "fmc_type_id")
     return with_prior(reached, pool, "login_fttb", "id", _PRIOR)
 

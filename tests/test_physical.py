@@ -12,6 +12,31 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def as_run(df):
+    """The rows and the plan that adaptive execution ended with."""
+    found = df.collect()
+    return found, physical(df).split("== Initial Plan ==")[0]
+
+
+#: With these a shuffled join has no broadcast to fall back on and splits a partition of little size.
+TIGHT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+}
+
+
+@pytest.fixture
+def tight(spark):
+    q.tune(spark)
+    for name, value in TIGHT.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name in TIGHT:
+        spark.conf.unset(name)
+
+
 @pytest.mark.parametrize("name", PLANNED)
 def test_no_pairwise_joins_and_no_python(spark, name):
     plan = physical(q.QUERIES[name](spark, "/root/testdata/sf0.001"))
@@ -55,29 +80,17 @@ def test_profile_reads_only_needed_columns(spark, sf):
     assert "rounded_data_volume" not in plan and "Join" not in plan
 
 
-def test_a_hot_key_and_null_keys_are_split_in_shuffled_lookups(spark, tmp_path):
+def test_a_hot_key_and_null_keys_are_split_in_shuffled_lookups(tight, tmp_path):
     """A third of the fact on one key and a third on NULL, with a lookup too big to broadcast."""
+    spark = tight
     spark.range(20000).selectExpr("id d", "id * 2 v").write.parquet(str(tmp_path / "dim"))
     dim = spark.read.parquet(str(tmp_path / "dim"))
     hot = "case id % 3 when 0 then 7 when 1 then null else id % 20000 end"
     fact = spark.range(0, 400000, 1, 16).selectExpr("id", f"{hot} k", "uuid() text")
-    q.tune(spark)
-    small = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
-    }
-    for name, value in small.items():
-        spark.conf.set(name, value)
-    try:
-        looked_up = q.joins.role_lookup(fact, dim, "d", {"k": {"v": "v"}})
-        total = looked_up.selectExpr("count(*) n", "count(v) known", "sum(v) v", "max(text) t")
-        row = total.collect()[0]
-        assert "skew=true" in physical(total)
-    finally:
-        for name in small:
-            spark.conf.unset(name)
+    looked_up = q.joins.role_lookup(fact, dim, "d", {"k": {"v": "v"}})
+    total = looked_up.selectExpr("count(*) n", "count(v) known", "sum(v) v", "max(text) t")
+    row = total.collect()[0]
+    assert "skew=true" in physical(total)
     keys = [7 if i % 3 == 0 else None if i % 3 == 1 else i % 20000 for i in range(400000)]
     known = [k for k in keys if k is not None]
     assert (row.n, row.known, row.v) == (400000, len(known), 2 * sum(known))
@@ -99,10 +112,61 @@ def test_prior_record_spreads_a_key_by_blocks(spark, sf, limit):
     assert len(by_block) == 2 and len(windows) == 3  # blocks, blocks of blocks, and those
 
 
+@pytest.mark.parametrize("other", ["uuid()", "'x'"], ids=["hot phone", "hot row key"])
+def test_hot_candidates_and_row_keys_are_split_in_first_match(tight, tmp_path, other):
+    """A third of the phones on one value and a third NULL; where the rows differ in nothing else, their key is as hot."""
+    tight.range(20000).selectExpr("concat(' ', id) phone").write.parquet(str(tmp_path / "known"))
+    hot = "case id % 3 when 0 then '7' when 1 then null else cast(id % 40000 as string) end"
+    rows = tight.range(0, 300000, 1, 16).selectExpr("if(id % 3 = 0, null, id div 150000) k", f"{hot} a", f"{other} b", "uuid() text")
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = tight.read.parquet(str(tmp_path / "rows"))
+    found = q.joins.first_match(rows, "k", ["a", "b"], tight.read.parquet(str(tmp_path / "known")), "phone", "hit")
+    total = found.selectExpr("count(*) n", "count(hit) hits", "count_if(hit = a) same", "max(text) t")
+    (row,), plan = as_run(total)
+    assert "skew=true" in plan
+    hits = sum(i % 3 == 0 or (i % 3 == 2 and i % 40000 < 20000) for i in range(300000))
+    assert (row.n, row.hits, row.same) == (300000, hits, hits)
+
+
+def test_first_match_moves_whole_rows_at_most_once(tight, sf):
+    found = q.QUERIES["fixed_line_sales"](tight, sf)
+    _, plan = as_run(found)
+    lines = plan.splitlines()
+    whole = [i for i, line in enumerate(lines) if " Exchange hashpartitioning" in line and "sl_dealer_name" in "".join(lines[i + 1 : i + 3])]
+    assert len(whole) <= 2  # for the semi join with the log, and for the first match
+
+
 @pytest.mark.parametrize("name, log", [("bundle_sales", "lineitem"), ("tv_sales", "lineitem"), ("fixed_line_sales", "lineitem")])
-def test_status_log_is_read_once(spark, sf, name, log):
-    plan = physical(q.QUERIES[name](spark, sf))
-    assert plan.count(f"{log}.parquet") == 1
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_status_log_is_read_once(spark, sf, name, log, limit):
+    """Both uses of what is derived from the log share its exchange."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        found, plan = as_run(q.QUERIES[name](spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found and plan.count(f"{log}.parquet") == 1 and "Reused" in plan
+
+
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_only_orders_of_reached_logins_are_put_in_order(spark, sf, monkeypatch, limit):
+    """What goes into the blocks and their windows are the reached logins' orders, whatever the join."""
+    from martloom.operators import asof
+
+    pools, whole = [], asof.prior_record
+    monkeypatch.setattr(asof, "prior_record", lambda records, *rest: pools.append(records) or whole(records, *rest))
+    t = Tables(q.tune(spark), sf)
+    orders = t["fmc_order_data"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        reached = q.orders.reached_orders(orders, t["fmc_change_status_log"], q.orders.BUNDLE, *q.ORDERS).filter("id % 50 = 0")
+        found = q.orders.with_prior_order(reached, orders).collect()
+        (pool,) = pools
+        logins = {r.login_fttb for r in found}
+        wanted = orders.filter(orders["login_fttb"].isin(*logins)).count()
+        assert 0 < pool.count() == wanted < orders.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_planning_a_mart_starts_no_job(spark, sf):
