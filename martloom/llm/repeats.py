@@ -311,7 +311,7 @@ def without_repeats(docs: DataFrame, window: int, anchors: Anchors, reach: int,
     marks = f"key long, at int, {document}"
     windows = f"k1 long, place long, {document}, settled int"
     docs = _told_apart(docs)
-    # Equal rows meet in the map-side aggregate already. Both joins below read this one exchange.
+    # Equal rows meet in the map-side aggregate already. Both joins below take the same columns, so they read this one exchange.
     texts = (
         docs.mapInArrow(_packed_rows(arrow_schema(packed)), packed)
         .groupBy(*DOCUMENT)
@@ -327,7 +327,7 @@ def without_repeats(docs: DataFrame, window: int, anchors: Anchors, reach: int,
     )
     spans = (
         texts.join(marked, DOCUMENT, "left")
-        .select(*DOCUMENT, "packed", "size", "at")
+        .select(*DOCUMENT, "packed", "size", "copies", "at")
         .mapInArrow(_window_rows(window, reach, arrow_schema(windows)), windows)
         .repartition("k1")
         .sortWithinPartitions("k1", "settled", F.shiftright("place", 32), F.desc("no_id"), "id", "tie", "place")
