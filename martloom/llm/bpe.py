@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 import numpy as np
 import tiktoken
@@ -27,6 +28,12 @@ REUSE_BYTES = 48 << 20
 # Fixed value: the byte-level pre-tokenizer's pattern, as the tokenizer's documentation has it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: White space of this many characters or more is cut out of a text by a scanner: the pattern would step back
+#: through it character by character, and gives up at some length.
+LONG_RUN = 10_000
+# Fixed value: the characters that the pattern's \\s stands for.
+_LONG_RUNS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
+
 
 def _byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in byte-level vocabularies: itself where it is visible, else one past 255."""
@@ -35,7 +42,7 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def encoding(path: str) -> tiktoken.Encoding:
+def encoding(path: str, pattern: str = PATTERN) -> tiktoken.Encoding:
     """The vocabulary file as an encoder: merges in order of rank, added tokens as special ones."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
@@ -49,7 +56,7 @@ def encoding(path: str) -> tiktoken.Encoding:
         token = "".join(pair.split(" ") if isinstance(pair, str) else pair)
         if ranks[bytes(letters[c] for c in token)] != len(letters) + i:
             raise ValueError("ids must follow the order of the merges")
-    return tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return tiktoken.Encoding("chunks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
 def cut_places(data: bytes) -> list[int]:
@@ -80,6 +87,7 @@ class ChunkEncoder:
     def __init__(self, path: str, reuse_bytes: int = REUSE_BYTES) -> None:
         self.path, self.reuse_bytes = path, reuse_bytes
         self.loaded: tiktoken.Encoding | None = None
+        self.blank: tiktoken.Encoding | None = None
         self.known: dict[bytes, tuple[bytes, bytes]] = {}
         self.joins: dict[tuple[bytes, bytes], bool] = {}
         self.held = 0
@@ -94,7 +102,22 @@ class ChunkEncoder:
         return self.loaded
 
     def ids(self, text: str) -> list[int]:
-        return self.encoding.encode(text, allowed_special="all")
+        """The ids of a text. By the pattern a run of white space is one piece but for its last character, which
+        belongs to what follows; at the end of the text or before a special token it is one piece as a whole."""
+        found, at = [], 0
+        for run in _LONG_RUNS.finditer(text) if len(text) >= LONG_RUN else ():
+            start, end = run.span()
+            if end < len(text) and not text.startswith(tuple(self.encoding.special_tokens_set), end):
+                end -= 1
+            found += self.encoding.encode(text[at:start], allowed_special="all") + self.blank_ids(text[start:end])
+            at = end
+        return found + self.encoding.encode(text[at:], allowed_special="all")
+
+    def blank_ids(self, run: str) -> list[int]:
+        """The ids of white space as one piece."""
+        if self.blank is None:
+            self.blank = encoding(self.path, r"\s+")
+        return self.blank.encode_ordinary(run)
 
     def chunk(self, data: bytes) -> tuple[bytes, bytes]:
         """Little-endian ids of a chunk, and the bytes they decode to."""

@@ -297,6 +297,27 @@ def test_bpe(docs):
     assert bag(map(tuple, bpe.encode(docs, path).collect())) == bag(expected)
 
 
+@pytest.mark.parametrize("n, blanks", [(10**6, " \n\t\u3000"), (10**7, " \n")])
+def test_bpe_of_long_white_space(spark, n, blanks):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    ends = ("", "x", "<|endoftext|>y") if n < 10**7 else ("", "x")
+    texts = [f"some words{blank * n}{end}" for blank in blanks for end in ends]
+    if n < 10**7:
+        texts += [" \n" * n + "é", f"{' ' * n}a{' ' * n} b\x1c" + "\x1c" * 20_000, "a" + "\r\n" * bpe.LONG_RUN, " " * (bpe.LONG_RUN - 1) + "1"]
+    coder = bpe.ChunkEncoder(path)
+    for text in texts:
+        expected = library.encode(text, add_special_tokens=False).ids
+        ids, decoded = coder.encode(text)
+        assert np.frombuffer(ids, "<u4").tolist() == expected and decoded.decode() == text
+
+
+def test_bpe_of_a_table_with_long_white_space(spark):
+    df = spark.createDataFrame([(1, " " * 1_500_000 + "x"), (2, "a b")], "doc_id long, text string")
+    counts = {r.doc_id: r.n_tokens for r in bpe.encode(df, public_tokenizers.path("byte_bpe_50k.json")).collect()}
+    assert counts[1] > 1 and counts[2] == 2
+
+
 def test_bpe_chunks_are_reused_and_joins_repaired(monkeypatch):
     coder = bpe.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     text = " ".join(f"word{i * i % 997}" for i in range(4000))
