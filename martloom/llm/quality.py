@@ -1,7 +1,9 @@
 """Quality rules: a linear-chain conditional random field labels lines, Viterbi decodes them.
 
-The field has two labels, boilerplate (0) and content (1). It is trained on a
-bounded sample of labelled documents, whose lines take their document's label.
+The field has two labels, boilerplate (0) and content (1). It is trained on a bounded
+sample of labelled documents. Their lines take their document's label, but for lines of a bad
+document that a good one has too; runs of a few lines of good and of bad documents are
+joined to chains, so that the field learns what a change of label costs.
 """
 
 from __future__ import annotations
@@ -10,15 +12,17 @@ from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .text import per_document
+from .text import per_document, sampled_texts
 
 #: Labelled documents of each quality that the field is trained on, at most.
 SAMPLE = 400
-#: Longer documents of the sample are trained on as chains of this many lines.
-CHAIN = 100
+#: Characters that the sample's texts hold together, at most.
+SAMPLE_CHARS = 1 << 22
+#: Lines of a run, chosen at random, and lines from which a training chain is long enough. None is left out.
+RUNS, CHAIN = (1, 2, 4, 8), 40
 #: Share of a document's words on content lines from which it is kept.
 CONTENT_SHARE = 0.5
 
@@ -104,21 +108,43 @@ class LineField:
         return labels[::-1]
 
 
-def train_field(chains: list[tuple[np.ndarray, int]], rounds: int = 100, rate: float = 0.2) -> LineField:
+def training_chains(documents: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Chains of runs of lines, in a fixed random order: features and labels of consecutive lines."""
+    rng = np.random.default_rng(5)
+    runs = []
+    for x, labels in documents:
+        at = 0
+        while at < len(x):
+            end = at + int(rng.choice(RUNS))
+            runs.append((x[at:end], labels[at:end]))
+            at = end
+    chains, held, lines = [], [], 0
+    for number in rng.permutation(len(runs)).tolist():
+        held.append(runs[number])
+        lines += len(held[-1][0])
+        if lines >= CHAIN:
+            chains.append(tuple(map(np.concatenate, zip(*held))))
+            held, lines = [], 0
+    if held:
+        chains.append(tuple(map(np.concatenate, zip(*held))))
+    return chains
+
+
+def train_field(chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 200, rate: float = 0.1) -> LineField:
     """Maximise the chains' conditional likelihood by gradient steps (Adam), with a small ridge.
 
-    ``chains``: features of consecutive lines and their label. Without chains
-    every line is content.
+    ``chains``: features and labels of consecutive lines. Without chains every line is content.
     """
     width = len(line_features("a", ["a"], False))
     if not chains:
         return LineField(np.eye(width)[0], np.zeros((2, 2)))
     longest, n = max(len(x) for x, _ in chains), len(chains)
-    x, there = np.zeros((n, longest, width)), np.zeros((n, longest))
-    for i, (lines, _) in enumerate(chains):
-        x[i, : len(lines)], there[i, : len(lines)] = lines, 1.0
-    gold = np.array([label for _, label in chains])
+    x, there, gold = np.zeros((n, longest, width)), np.zeros((n, longest)), np.zeros((n, longest))
+    for i, (lines, labels) in enumerate(chains):
+        x[i, : len(lines)], there[i, : len(lines)], gold[i, : len(lines)] = lines, 1.0, labels
     last = there.sum(axis=1).astype(int) - 1
+    stepped = there[:, 1:]
+    actual = np.array([[((gold[:, :-1] == a) & (gold[:, 1:] == b) & (stepped > 0)).sum() for b in (0, 1)] for a in (0, 1)])
     theta = np.zeros(width + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
@@ -134,11 +160,9 @@ def train_field(chains: list[tuple[np.ndarray, int]], rounds: int = 100, rate: f
             backward[:, t] = np.where(there[:, t + 1, None] > 0, reach, 0.0)
         total = np.logaddexp.reduce(forward[np.arange(n), last], axis=1)
         content = np.exp(forward[:, :, 1] + backward[:, :, 1] - total[:, None]) * there
-        gradient = np.einsum("nt,ntf->f", gold[:, None] * there - content, x)
+        gradient = np.einsum("nt,ntf->f", gold * there - content, x)
         pair = forward[:, :-1, :, None] + moves + (node[:, 1:] + backward[:, 1:])[:, :, None, :]
-        expected = np.exp(pair - total[:, None, None, None]) * there[:, 1:, None, None]
-        steps = there[:, 1:].sum(axis=1)
-        actual = np.diag([steps[gold == 0].sum(), steps[gold == 1].sum()])
+        expected = np.exp(pair - total[:, None, None, None]) * stepped[:, :, None, None]
         gradient = np.concatenate([gradient, (actual - expected.sum(axis=(0, 1))).ravel()]) / n - 1e-3 * theta
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -146,31 +170,29 @@ def train_field(chains: list[tuple[np.ndarray, int]], rounds: int = 100, rate: f
 
 
 def fit_line_field(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField:
-    """Train on at most ``sample`` labelled documents of each quality, those of the smallest id hash."""
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    usable = labels.where(F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    picked = [
-        usable.where(F.col("quality") == value).orderBy(order, "doc_id").limit(sample) for value in (0, 1)
-    ]
-    chosen = picked[0].unionByName(picked[1])
+    """Train on at most ``sample`` labelled documents of each quality, as ``sampled_texts`` takes them."""
 
     def lines(batches):
         import pyarrow as pa
 
         for batch in batches:
-            found = [lines_of(text or "")[0] for text in batch.column("text").to_pylist()]
-            flat = [np.asarray(rows, dtype=np.float32).tobytes() for rows in found]
-            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(flat, pa.binary())], ["quality", "lines"])
-
-    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            flat = [np.asarray(lines_of(text)[0], dtype=np.float32).tobytes() for text in texts]
+            marks = [[xxhash.xxh64(line).digest() for line in text.split("\n") if line.encode("utf-8").split()] for text in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("quality"), pa.array(flat, pa.binary()), pa.array(map(b"".join, marks), pa.binary())], ["quality", "lines", "marks"]
+            )
+
+    labelled = sampled_texts(docs, labels, "quality", sample, SAMPLE_CHARS).select("quality", "text")
     width = len(line_features("a", ["a"], False))
-    chains = []
-    rows = labelled.mapInArrow(lines, f"quality {labels.schema['quality'].dataType.simpleString()}, lines binary")
-    for row in rows.collect():
-        x = np.frombuffer(row["lines"], dtype=np.float32).reshape(-1, width).astype(float)
-        chains += [(x[i : i + CHAIN], int(row["quality"])) for i in range(0, len(x), CHAIN)]
-    chains.sort(key=lambda chain: (chain[1], len(chain[0]), chain[0].tobytes()))
-    return train_field(chains)
+    rows = sorted((r["quality"], r["marks"], r["lines"]) for r in labelled.mapInArrow(lines, "quality int, lines binary, marks binary").collect())
+    marked = [np.frombuffer(marks, dtype=np.uint64) for _, marks, _ in rows]
+    of_good = np.unique(np.concatenate([m for (q, _, _), m in zip(rows, marked) if q] or [np.zeros(0, dtype=np.uint64)]))
+    documents = [
+        (np.frombuffer(flat, dtype=np.float32).reshape(-1, width).astype(float), np.isin(m, of_good).astype(float))
+        for (_, _, flat), m in zip(rows, marked)
+    ]
+    return train_field(training_chains(documents))
 
 
 def judge(field: LineField, share: float = CONTENT_SHARE) -> Callable[[str], tuple]:

@@ -74,6 +74,29 @@ def per_document(docs: DataFrame, columns: str, result: Callable[[str], tuple])
     return docs.select("doc_id", "text").mapInArrow(rows, schema)
 
 
+def sampled_texts(docs: DataFrame, labels: DataFrame, label: str, sample: int, budget: int) -> DataFrame:
+    """doc_id, ``label`` and text of at most ``sample`` ids of each label 0 and 1, those of the smallest id hash.
+
+    What a model on the driver is fitted on: at most ``budget`` characters together. Of several texts of one id
+    the one of the least hash is taken, once; ids whose text doesn't fit into what is left are passed over.
+    """
+    spark = docs.sparkSession
+    order = F.xxhash64(F.col("doc_id").cast("string"))
+    usable = labels.where(F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias(label))
+    picked = [usable.where(F.col(label) == value).orderBy(order, "doc_id").limit(sample) for value in (0, 1)]
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    known = texts.join(F.broadcast(picked[0].unionByName(picked[1]).distinct()), "doc_id")
+    sizes = known.groupBy("doc_id", label).agg(F.min(F.struct("text_hash", F.length(F.coalesce("text", F.lit(""))).alias("size"))).alias("least"))
+    found = sizes.select("doc_id", label, "least.text_hash", "least.size", order.alias("place")).collect()
+    wanted, left = [], budget
+    for row in sorted(found, key=lambda r: (r["place"], r["doc_id"], r[label])):
+        if row["size"] <= left:
+            left -= row["size"]
+            wanted.append((row["doc_id"], row[label], row["text_hash"]))
+    chosen = spark.createDataFrame(wanted, f"doc_id {id_type(docs)}, {label} int, text_hash long")
+    return texts.join(F.broadcast(chosen), ["doc_id", "text_hash"]).groupBy("doc_id", label).agg(F.any_value("text").alias("text"))
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """The rows again, in batches of some ``PIECE_BYTES`` or of one row; ``column`` holds texts or their sizes."""
     for batch in batches:

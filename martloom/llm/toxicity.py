@@ -1,8 +1,10 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are words, word beginnings, and beginnings that several different words of a
-text share, hashed to buckets; a text is the set of its buckets. Besides a weight each bucket has factors, whose products score pairs of
-terms in one text. Trained here on a bounded sample of labelled rows.
+text share, hashed to buckets; a text is the set of its buckets. Besides a weight each
+bucket has factors, whose products score pairs of terms in one text. Trained here on a bounded
+sample of labelled rows: every bucket that is not rare takes part, and those whose own gradient,
+and whose gradient together with the rest of a text, stay within the noise end up with zeros.
 """
 
 from __future__ import annotations
@@ -16,13 +18,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import per_document
+from .text import per_document, sampled_texts
 
 RESULT = "held_out boolean, score double, predicted int"
 
 #: Labelled documents of each class that the machine is trained on, at most.
 SAMPLE = 5000
-BUCKETS, FEATURES, FACTORS = 1 << 18, 600, 4
+#: Characters that the sample's texts hold together, at most.
+SAMPLE_CHARS = 1 << 25
+BUCKETS, FACTORS = 1 << 18, 4
+#: Texts of the sample that a bucket must be in, alone and for its pairs to be looked at.
+FLOOR, PAIR_FLOOR = 3, 10
+#: Gradients count from so many standard deviations of chance on: a bucket's own, and that of its pairs.
+NOISE, PAIR_NOISE = 1.5, 5.0
 #: Word beginnings that are terms too, by length.
 STEMS = (4, 5, 6)
 #: A beginning is another term if this many different words share it.
@@ -80,52 +88,114 @@ class FactorizationMachine:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -30.0, 30.0))))
 
 
-def chosen_buckets(rows: list[np.ndarray], toxic: np.ndarray, features: int = FEATURES) -> np.ndarray:
-    """Buckets whose document frequencies differ most between the classes, by their two-sample score."""
-    counts = [np.zeros(BUCKETS), np.zeros(BUCKETS)]
-    for row, label in zip(rows, toxic):
-        counts[int(label)][row] += 1
-    n0, n1 = max(1, int((toxic == 0).sum())), max(1, int((toxic == 1).sum()))
-    a, b = counts[1] / n1, counts[0] / n0
-    spread = (counts[0] + counts[1] + 1) / (n0 + n1)
-    z = np.abs(a - b) / np.sqrt(spread * (1 / n0 + 1 / n1))
-    z[counts[0] + counts[1] < 3] = 0
-    order = np.lexsort((np.arange(BUCKETS), -z))[:features]
-    return np.sort(order[z[order] > 2.5])
+class SparseRows:
+    """Rows of zeros and ones: columns ``at`` of ``row``, sorted by row."""
+
+    def __init__(self, rows: list[np.ndarray], columns: np.ndarray) -> None:
+        place = np.full(BUCKETS, -1, dtype=np.int64)
+        place[columns] = np.arange(len(columns))
+        self.shape = len(rows), len(columns)
+        sizes = np.array([len(r) for r in rows], dtype=np.int64)
+        at = place[np.concatenate(rows)] if len(rows) else np.zeros(0, dtype=np.int64)
+        row = np.repeat(np.arange(len(rows)), sizes)
+        self.at, self.row = at[at >= 0], row[at >= 0]
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        """The product with a vector."""
+        return np.bincount(self.row, weights=v[self.at], minlength=self.shape[0])
+
+    def turned_times(self, g: np.ndarray) -> np.ndarray:
+        """The product of the transpose with a vector."""
+        return np.bincount(self.at, weights=g[self.row], minlength=self.shape[1])
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def sparse_weights(x: SparseRows, y: np.ndarray, importance: np.ndarray, rounds: int = 120) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, weights and the columns' means of a logistic model, by accelerated proximal gradient steps.
+
+    Columns are centred and scaled to equal spread, so that one threshold, ``NOISE`` standard deviations of
+    a gradient without any effect, holds for all; weights within it become exactly zero.
+    """
+    mean = x.turned_times(importance)
+    spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-9))
+
+    def forward(u: np.ndarray) -> np.ndarray:
+        return x.times(u / spread) - (u / spread * mean).sum()
+
+    def backward(g: np.ndarray) -> np.ndarray:
+        return (x.turned_times(g) - mean * g.sum()) / spread
+
+    share = float((importance * y).sum())
+    noise = NOISE * float(np.sqrt((importance**2 * (y - share) ** 2).sum()))
+    direction, steepest = np.random.default_rng(0).standard_normal(x.shape[1]), 1.0
+    for _ in range(12):
+        direction = backward(importance * forward(direction))
+        steepest = max(float(np.linalg.norm(direction)), 1e-12)
+        direction /= steepest
+    step = 3.6 / steepest  # the curvature of the loss is a quarter of that at most
+    bias, w, ahead, pace = float(np.log((share + 1e-4) / (1 - share + 1e-4))), np.zeros(x.shape[1]), np.zeros(x.shape[1]), 1.0
+    for _ in range(rounds):
+        g = (_sigmoid(bias + forward(ahead)) - y) * importance
+        moved = ahead - step * backward(g)
+        moved = np.sign(moved) * np.maximum(np.abs(moved) - step * noise, 0)
+        bias -= 2 * float(g.sum())
+        faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        ahead = moved + (pace - 1) / faster * (moved - w)
+        w, pace = moved, faster
+    return bias, w / spread, mean
+
+
+def paired_columns(x: SparseRows, y: np.ndarray, importance: np.ndarray, bias: float, w: np.ndarray, mean: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Columns that change what the weighted terms of a text mean: their gradient as partners of the text's own score.
+
+    Such a column may be as frequent in both classes, like a group that insults mention and others too.
+    """
+    own = x.times(w) - (w * mean).sum()
+    pull = (_sigmoid(bias + own) - y) * importance * (own - (importance * own).sum())
+    gradient = x.turned_times(pull) - mean * pull.sum()
+    chance = np.sqrt(np.maximum(mean * (1 - mean), 1e-9) * (pull**2).sum())
+    return np.flatnonzero((np.abs(gradient) > PAIR_NOISE * np.maximum(chance, 1e-15)) & (counts >= PAIR_FLOOR))
 
 
 def train_machine(
     rows: list[np.ndarray], toxic: np.ndarray, share: float, rounds: int = 150, rate: float = 0.1
 ) -> FactorizationMachine:
-    """Fit by gradient steps (Adam) with a ridge; ``share`` of toxic rows is what the scores are set to."""
-    buckets = chosen_buckets(rows, toxic)
-    width = len(buckets)
-    place = np.full(BUCKETS, -1, dtype=np.int32)
-    place[buckets] = np.arange(width)
-    x = np.zeros((len(rows), width), dtype=np.float32)
-    for i, row in enumerate(rows):
-        at = place[row]
-        x[i, at[at >= 0]] = 1.0
-    y = toxic.astype(np.float32)
+    """Fit by gradient steps (Adam) with a ridge; ``share`` of toxic rows is what the scores are set to.
+
+    Which buckets get weights and factors is decided by ``sparse_weights`` and ``paired_columns`` over all
+    buckets of ``FLOOR`` rows or more; their number has no limit.
+    """
+    y = toxic.astype(float)
     ones = max(1.0, float(y.sum()))
     zeros = max(1.0, float(len(y) - y.sum()))
-    importance = np.where(y > 0, share / ones, (1 - share) / zeros).astype(np.float32)
+    importance = np.where(y > 0, share / ones, (1 - share) / zeros)
+    counts = np.bincount(np.concatenate(rows), minlength=BUCKETS) if len(rows) else np.zeros(BUCKETS, dtype=np.int64)
+    buckets = np.flatnonzero(counts >= FLOOR)
+    if len(buckets):
+        x = SparseRows(rows, buckets)
+        bias, w, mean = sparse_weights(x, y, importance)
+        pairs = paired_columns(x, y, importance, bias, w, mean, counts[buckets])
+        buckets = buckets[np.union1d(np.flatnonzero(w), pairs)]
+    width = len(buckets)
+    x = SparseRows(rows, buckets)
     rng = np.random.default_rng(7)
     bias = float(np.log((share + 1e-4) / (1 - share + 1e-4)))
-    theta = np.concatenate([[bias], np.zeros(width), 0.01 * rng.standard_normal(width * FACTORS)]).astype(np.float32)
+    theta = np.concatenate([[bias], np.zeros(width), 0.01 * rng.standard_normal(width * FACTORS)])
     m, s = np.zeros_like(theta), np.zeros_like(theta)
-    ridge = np.concatenate([[0.0], np.full(width, 1e-5), np.full(width * FACTORS, 1e-4)]).astype(np.float32)
+    ridge = np.concatenate([[0.0], np.full(width, 1e-5), np.full(width * FACTORS, 1e-4)])
     for step in range(1, rounds + 1):
         w, v = theta[1 : 1 + width], theta[1 + width :].reshape(width, FACTORS)
-        sums = x @ v
-        z = theta[0] + x @ w + 0.5 * (sums**2 - x @ v**2).sum(axis=1)
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * importance
-        pulled = x.T @ g
-        dv = x.T @ (g[:, None] * sums) - v * pulled[:, None]
+        sums = np.stack([x.times(v[:, f]) for f in range(FACTORS)], axis=1)
+        z = theta[0] + x.times(w) + 0.5 * ((sums**2).sum(axis=1) - x.times((v**2).sum(axis=1)))
+        g = (_sigmoid(z) - y) * importance
+        pulled = x.turned_times(g)
+        dv = np.stack([x.turned_times(g * sums[:, f]) for f in range(FACTORS)], axis=1) - v * pulled[:, None]
         gradient = np.concatenate([[g.sum()], pulled, dv.ravel()]) + ridge * theta
         m, s = 0.9 * m + 0.1 * gradient, 0.99 * s + 0.01 * gradient**2
         theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
-    theta = theta.astype(np.float64)
     return FactorizationMachine(buckets, float(theta[0]), theta[1 : 1 + width], theta[1 + width :].reshape(width, FACTORS))
 
 
@@ -134,13 +204,10 @@ def fold(doc_id: Column) -> Column:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> FactorizationMachine:
-    """Train on at most ``sample`` labelled rows of each class outside the held-out fold, of the smallest id hash."""
+    """Train on at most ``sample`` labelled ids of each class outside the held-out fold, as ``sampled_texts`` takes them."""
     usable = labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     sizes = {row["toxic"]: row["count"] for row in usable.groupBy("toxic").count().collect()}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    picked = [usable.where(F.col("toxic") == value).orderBy(order, "doc_id").limit(sample) for value in (0, 1)]
-    chosen = picked[0].unionByName(picked[1])
     terms = TermBuckets()
 
     def rows(batches):
@@ -148,7 +215,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Fa
             found = [terms(text or "").astype("<i4").tobytes() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.binary())], ["toxic", "terms"])
 
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    known = sampled_texts(docs, usable, "toxic", sample, SAMPLE_CHARS).select("toxic", "text")
     held = sorted((row["toxic"], row["terms"]) for row in known.mapInArrow(rows, "toxic int, terms binary").collect())
     toxic = np.array([label for label, _ in held], dtype=np.int64)
     return train_machine([np.frombuffer(t, dtype="<i4").astype(np.int64) for _, t in held], toxic, share)
