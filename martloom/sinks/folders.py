@@ -17,15 +17,28 @@ _owned: list[Callable[[SparkSession], object]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, else the session's warehouse."""
-    folder = spark.conf.get(_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the session's warehouse.
+
+    On a cluster a warehouse on a local disk is an error, as each executor would write to
+    its own and later reads would miss rows.
+    """
+    folder = spark.conf.get(_SETTING, None)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        require_shared(_file_system(spark, folder).getScheme(), spark.sparkContext.master)
     return folder.rstrip("/")
 
 
+def require_shared(scheme: str, master: str) -> None:
+    """Raise where a file system is one machine's own and the executors are on others."""
+    if scheme == "file" and not master.startswith("local"):
+        raise ValueError(f"the warehouse is local to one machine; name a shared folder in {_SETTING}")
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one. It is the process's own and removed when that ends."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    at_end(lambda session: _delete(session, path))
+    at_end(lambda session: remove(session, path))
     return path
 
 
@@ -43,9 +56,13 @@ def remove_owned() -> None:
         _owned.pop()(spark)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the process's own that nothing reads any more."""
+    _file_system(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
 def evenly(df: DataFrame, *columns: str) -> DataFrame:

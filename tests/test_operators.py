@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import classify, dates, text
 from martloom.operators import asof, horizons, joins, kpi, ranking, transitions
+from martloom.sinks import folders
 
 
 def rows(df, *columns):
@@ -236,3 +237,24 @@ def test_resolve_as_of():
     assert dates.resolve_as_of("sysmonth", today) == date(2024, 2, 1)
     assert dates.resolve_as_of("sysmonth", date(2024, 1, 31)) == date(2023, 12, 1)
     assert dates.resolve_as_of("2020-02-29", today) == date(2020, 2, 29)
+
+
+# --- shared folders -----------------------------------------------------------
+
+
+def test_a_local_warehouse_is_an_error_on_a_cluster(spark):
+    assert folders.shared_folder(spark)
+    for master in ("local", "local[4]", "local-cluster[2,1,1024]"):
+        folders.require_shared("file", master)
+    for master in ("yarn", "spark://host:7077", "k8s://host"):
+        folders.require_shared("hdfs", master)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            folders.require_shared("file", master)
+
+
+def test_removed_folders_are_gone(spark):
+    path = folders.fresh_folder(spark, "gone")
+    spark.range(3).write.parquet(path)
+    folders.remove(spark, path)
+    spark.range(4).write.parquet(path)  # an error if it were still there
+    assert spark.read.parquet(path).count() == 4
