@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import checkpointed
+from martloom.sinks.folders import fresh_folder, remove
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,29 +13,51 @@ def components(links: DataFrame) -> DataFrame:
 
     Every round hooks each node's greater neighbours to its least one, then its lesser
     ones; the links become stars after a number of rounds that grows as the logarithm
-    of the longest chain. Nodes with many links are pre-aggregated, never gathered.
+    of the longest chain. Least neighbours are combined in two levels, first for each of a
+    node's parts by a hash of the neighbour, so the links of a hub meet in no task; the joins
+    that hand them on read both sides from exchanges of their own, where adaptive execution
+    can split a hub. Each round is written to the shared folder, and the one before it removed.
     """
-    now = checkpointed(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    spark = links.sparkSession
+    folder = fresh_folder(spark, "components")
+    now = _stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{folder}/0")
+    number, before = 0, None
     while True:
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                now.select("b", "b").distinct()
-            )
-        before = state
-        now = checkpointed(_small_star(_large_star(now)))
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
+        number, before = number + 1, state
+        halfway = _stored(_large_star(now), f"{folder}/{number}-large")
+        remove(spark, f"{folder}/{number - 1}")
+        now = _stored(_small_star(halfway), f"{folder}/{number}")
+        remove(spark, f"{folder}/{number}-large")
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    spark: SparkSession = df.sparkSession
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def least_neighbours(links: DataFrame) -> DataFrame:
+    """(node, m): the least ``b`` of each ``a``.
+
+    Parts of a node are combined first. The hash among the last grouping columns changes no group; it
+    keeps the aggregate from being joined in place, which would pin a node's links to its task.
+    """
+    parts = links.groupBy(F.col("a").alias("node"), F.pmod(F.xxhash64("b"), F.lit(64)).alias("part")).agg(F.min("b").alias("m"))
+    return parts.groupBy("node", F.hash("node").alias("spread")).agg(F.min("m").alias("m")).select("node", "m")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a"))
-    least = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("m"))
+    least = least_neighbours(both).select("node", F.least("m", "node").alias("m"))
     return both.join(least, both["a"] == least["node"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     # Every link leads from its greater end, a, to its lesser one.
-    least = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    least = least_neighbours(links)
     hooked = links.join(least, links["a"] == least["node"])
     below = hooked.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return below.union(least.select("node", "m")).distinct()

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -132,73 +133,114 @@ def _unpacked(batch: pa.RecordBatch) -> list[bytes]:
     return [unpack(p.as_py()) for p in batch.column("packed")]
 
 
-Anchors = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+@dataclass(frozen=True)
+class Anchors:
+    """Places of a text that stand for the windows around them.
+
+    ``find`` gives a text's places, a hash of the words that begin there and, where anchors are ordered, three
+    hashes of ``PIECE`` bits of the words that follow these. Equal windows have anchors of equal hash at equal offsets of
+    at most ``reach`` from their starts. ``offsets`` has, for 0 to 3 following hashes in common with a
+    neighbour, the least offset that a common window can have.
+    """
+
+    find: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray | None]]
+    reach: int
+    offsets: tuple[int, int, int, int] = (0, 0, 0, 0)
+
+    @property
+    def ordered(self) -> bool:
+        return any(self.offsets)
+
+
+PIECE = np.uint64(21)
+#: Different continuations of one hash that a task sends on as they are; where it has more, they count as repeated throughout.
+_SIDES = 16
+
+
+def _in_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many of the three leading hashes two continuations have in common."""
+    apart = a ^ b
+    return (apart >> PIECE * np.uint64(2) == 0).astype(np.int32) + (apart >> PIECE == 0) + (apart == 0)
 
 
 def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
-    """(key, at, document): one row per anchor; ~at instead of at says that the key is known to repeat."""
+    """(key, at, document, following): one row per anchor; ~at instead of at says that it is known to repeat throughout."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            keys, places, owners = [], [], []
+            found, owners = [], []
             for number, text in enumerate(batch.column("text").cast(pa.binary())):
                 words = word_hashes(text.as_py() or b"")
                 if len(words) >= window:
-                    at, key = anchors(words)
-                    keys.append(key)
-                    places.append(at)
-                    owners.append(np.full(len(at), number))
-            if not keys:
+                    found.append(anchors.find(words)[: 2 + anchors.ordered])
+                    owners.append(np.full(len(found[-1][0]), number))
+            if not found:
                 continue
-            key, at, owner = np.concatenate(keys), np.concatenate(places), pa.array(np.concatenate(owners))
-            _, first, which, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            at, key, *rest = map(np.concatenate, zip(*found))
+            owner = pa.array(np.concatenate(owners))
+            order = np.lexsort((*rest, key))
+            fresh_key = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+            fresh = fresh_key.copy()
+            for part in rest:
+                fresh[1:] |= part[order][1:] != part[order][:-1]
+            group = np.cumsum(fresh) - 1
+            again = np.bincount(group) > 1
+            of_key = np.cumsum(fresh_key)[fresh] - 1
+            crowded = (np.bincount(of_key) > _SIDES)[of_key]
+            known, spare = np.zeros(len(key), dtype=bool), np.zeros(len(key), dtype=bool)
+            known[order] = (again | crowded)[group]
+            spare[order] = np.where(crowded[group], ~fresh_key, ~fresh)
             at = at.astype(np.int32)
-            at = np.where(count[which] > 1, ~at, at)
-            spare = np.ones(len(key), dtype=bool)
-            spare[first] = False
+            at = np.where(known, ~at, at)
             key = key.view(np.int64)
             key[spare] = np.arange(np.count_nonzero(spare)) % _SPREAD
-            yield from handed_back([pa.array(key), pa.array(at), *(batch.column(c).take(owner) for c in DOCUMENT)], schema)
+            documents = [batch.column(c).take(owner) for c in DOCUMENT]
+            yield from handed_back([pa.array(key), pa.array(at), *documents, *(pa.array(r.view(np.int64)) for r in rest)], schema)
 
     return rows
 
 
 def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, document and place of those whose key has two rows or is known to repeat."""
-    last, weight, waiting = None, 0, None
+    """Of rows sorted by key and what follows, those with a neighbour of their key: document, 4 * place + hashes in common."""
+    waiting, back = None, -1
     for batch in batches:
-        n = batch.num_rows
-        if not n:
+        if not batch.num_rows:
             continue
-        key, at = np.asarray(batch.column("key")), np.asarray(batch.column("at"))
-        weights = np.where(at < 0, 2, 1)
-        fresh = np.ones(n, dtype=bool)
-        fresh[0] = last is None or key[0] != last
-        fresh[1:] = key[1:] != key[:-1]
-        run = np.cumsum(fresh)
-        total = np.bincount(run, weights=weights, minlength=run[-1] + 1)
-        total[0] += weight
-        keep = total[run] >= 2
-        places = pa.array(np.where(at < 0, ~at, at))
-        rows = pa.RecordBatch.from_arrays([*(batch.column(c) for c in DOCUMENT), places], [*DOCUMENT, "at"])
-        if waiting is not None and not fresh[0] and keep[0]:
-            yield waiting
-        if fresh.any() or keep[-1]:
-            waiting = None
-        if not keep[-1]:
-            waiting = rows.slice(n - 1, 1)
-        last, weight = key[-1], int(total[run[-1]])
-        if keep.any():
-            yield rows.filter(pa.array(keep))
-
-
-def _window_rows(window: int, reach: int, schema: pa.Schema):
+        if waiting is not None:
+            batch = pa.Table.from_batches([waiting, batch]).combine_chunks().to_batches()[0]
+        key = np.asarray(batch.column("key"))
+        same = key[1:] == key[:-1]
+        if "following" in batch.schema.names:
+            following = np.asarray(batch.column("following")).view(np.uint64)
+            shared = np.where(same, _in_common(following[1:], following[:-1]), -1)
+        else:
+            shared = np.where(same, 3, -1)
+        before = np.append(back, shared)
+        yield from _reached(batch.slice(0, batch.num_rows - 1), np.maximum(before[:-1], shared))
+        waiting, back = batch.slice(batch.num_rows - 1), int(before[-1])
+    if waiting is not None:
+        yield from _reached(waiting, np.array([back]))
+
+
+def _reached(batch: pa.RecordBatch, common: np.ndarray) -> Iterator[pa.RecordBatch]:
+    at = np.asarray(batch.column("at"))
+    common = np.where(at < 0, 3, common)
+    keep = common >= 0
+    if keep.any():
+        places = (np.where(at < 0, ~at, at).astype(np.int64) * 4 + common)[keep]
+        documents = [batch.column(c).filter(pa.array(keep)) for c in DOCUMENT]
+        yield pa.RecordBatch.from_arrays([*documents, pa.array(places)], [*DOCUMENT, "at"])
+
+
+def _window_rows(window: int, anchors: Anchors, schema: pa.Schema):
     """(k1, place, document, settled): the windows that repeated anchors can belong to.
 
     ``place`` is 32 more bits of hash and the start. Windows that stand earlier among the task's own rows
     are settled: they go on as runs, with the run's length in place of the hash.
     """
 
+    least = np.array(anchors.offsets)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "size"):
             batch = batch.filter(batch.column("at").is_valid())
@@ -209,9 +251,11 @@ def _window_rows(window: int, reach: int, schema: pa.Schema):
             for number in sorted(range(len(names)), key=lambda n: (1 - names[n][1], names[n][0], names[n][2])):
                 words = word_hashes(texts[number])
                 at = np.asarray(marks[number].values)
+                low = np.maximum((at >> 2) - anchors.reach, 0)
+                high = np.minimum((at >> 2) + 1 - least[at & 3], len(words) - window + 1)
                 near = np.zeros(len(words) - window + 2, dtype=np.int32)
-                np.add.at(near, np.maximum(at - reach, 0), 1)
-                np.add.at(near, np.minimum(at + 1, len(words) - window + 1), -1)
+                np.add.at(near, low[low < high], 1)
+                np.add.at(near, high[low < high], -1)
                 start = np.flatnonzero(np.cumsum(near[:-1]) > 0)
                 ones.append(window_hashes(words, start, window, _ONE))
                 twos.append(window_hashes(words, start, window, _TWO) >> np.uint64(32))
@@ -297,18 +341,16 @@ DIGEST = (cut_digest, "n_words long, n_removed long, kept_sha256 string")
 TEXT = (cut_text, "n_words long, n_removed long, kept_text string")
 
 
-def without_repeats(docs: DataFrame, window: int, anchors: Anchors, reach: int, result: tuple = DIGEST) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int, anchors: Anchors, result: tuple = DIGEST) -> DataFrame:
     """Remove each word inside a window whose words also start earlier; one row per row of ``docs``.
 
     Earlier is a smaller doc_id (null first, rows of one doc_id by a hash of their
     text) or an earlier start in the same document. Windows are judged on the input.
-    Rows equal in doc_id and text are one document. ``anchors`` gives places and
-    hashes for a text's word hashes, so that any two equal windows have an anchor
-    of one hash at one offset of at most ``reach`` from their start.
+    Rows equal in doc_id and text are one document. Null and empty texts have no words.
     """
     document = f"id {id_type(docs)}, no_id int, tie long"
     packed = f"{document}, packed binary, size long"
-    marks = f"key long, at int, {document}"
+    marks = f"key long, at int, {document}" + (", following long" if anchors.ordered else "")
     windows = f"k1 long, place long, {document}, settled int"
     docs = _told_apart(docs)
     # Equal rows meet in the map-side aggregate already. Both joins below take the same columns, so they read this one exchange.
@@ -320,15 +362,15 @@ def without_repeats(docs: DataFrame, window: int, anchors: Anchors, reach: int,
     marked = (
         docs.mapInArrow(_anchor_rows(anchors, window, arrow_schema(marks)), marks)
         .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_repeated_rows, f"{document}, at int")
+        .sortWithinPartitions("key", *(["following"] if anchors.ordered else []))
+        .mapInArrow(_repeated_rows, f"{document}, at long")
         .groupBy(*DOCUMENT)
         .agg(F.collect_set("at").alias("at"))  # copies of a row name the same places
     )
     spans = (
         texts.join(marked, DOCUMENT, "left")
         .select(*DOCUMENT, "packed", "size", "copies", "at")
-        .mapInArrow(_window_rows(window, reach, arrow_schema(windows)), windows)
+        .mapInArrow(_window_rows(window, anchors, arrow_schema(windows)), windows)
         .repartition("k1")
         .sortWithinPartitions("k1", "settled", F.shiftright("place", 32), F.desc("no_id"), "id", "tie", "place")
         .mapInArrow(_later_rows, f"{document}, span long")

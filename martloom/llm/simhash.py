@@ -200,12 +200,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each component: that of the least doc_id (null last), of one id the text of the least hash.
 
-    Components are told apart by their root, as ids can be null or stand in several components.
+    Components are told apart by their root, as ids can be null or stand in several components. Of several rows of
+    that id and text the one stays whose columns, as JSON text, have the least SHA-256; rows equal in all columns are
+    one. Null and empty texts are one component with whatever else has the fingerprint 0. No rows give no rows.
     """
     prints, rooted = _rooted(docs)
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    firsts = prints.groupBy("print").agg(F.min(order).alias("first"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "copies")
+    firsts = prints.groupBy("print", "doc_id", "text_key").agg(F.count("*").alias("copies")).groupBy("print").agg(F.min(order).alias("first"))
     chosen = firsts.join(rooted, firsts["print"] == rooted["of"]).groupBy("root").agg(F.min("first").alias("first"))
-    wanted = chosen.select(F.col("first.doc_id").alias("wanted"), F.col("first.text_key").alias("wanted_text"))
-    own = docs["doc_id"].eqNullSafe(wanted["wanted"]) & (text_key(docs["text"]) == wanted["wanted_text"])
-    return docs.join(wanted, own, "left_semi").dropDuplicates(["doc_id", "text"])
+    wanted = chosen.select(*[F.col(f"first.{c}").alias(f"_wanted_{c}") for c in ("doc_id", "text_key", "copies")])
+    own = docs["doc_id"].eqNullSafe(wanted["_wanted_doc_id"]) & (text_key(docs["text"]) == wanted["_wanted_text_key"])
+    kept = docs.join(wanted, own)
+    several = kept.where("_wanted_copies > 1").groupBy("_wanted_doc_id", "_wanted_text_key")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    several = several.agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("_row"))
+    alone = kept.where("_wanted_copies = 1").select(*[docs[c] for c in docs.columns])
+    return alone.unionByName(several.select("_row.*"))

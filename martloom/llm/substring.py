@@ -11,28 +11,28 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .repeats import DIGEST, window_hashes, without_repeats
+from .repeats import DIGEST, Anchors, window_hashes, without_repeats
 
 WINDOW = 20
 #: Every remainder modulo 13 is a difference of two of these.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 
 
-def cover_anchors(window: int = WINDOW):
+def cover_anchors(window: int = WINDOW) -> Anchors:
     size = window - PERIOD + 1
     if size < 1:
         raise ValueError(f"a window needs at least {PERIOD} words")
     covered = np.zeros(PERIOD, dtype=bool)
     covered[list(COVER)] = True
 
-    def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def find(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, None]:
         at = np.arange(len(words) - size + 1)
         at = at[covered[at % PERIOD]]
-        return at, window_hashes(words, at, size)
+        return at, window_hashes(words, at, size), None
 
-    return anchors
+    return Anchors(find, PERIOD - 1)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, result: tuple = DIGEST) -> DataFrame:
     """Each document without the words of windows that also start earlier; see ``without_repeats``."""
-    return without_repeats(docs, window, cover_anchors(window), PERIOD - 1, result)
+    return without_repeats(docs, window, cover_anchors(window), result)

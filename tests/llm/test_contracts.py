@@ -122,6 +122,48 @@ def test_repeats_of_words_that_a_sum_of_powers_cannot_tell_apart(spark, operator
     assert operator(df).where("doc_id < 2").agg(F.sum("n_removed")).first()[0] == 0
 
 
+@pytest.mark.parametrize("head, tail", [(0, 0), (3, 9), (15, 2), (20, 20)])
+def test_passages_of_every_length_between_different_texts(spark, head, tail):
+    """Matches that end at any piece of a suffix, at either side, with three texts that share different parts."""
+    texts = []
+    for n in range(44, 72, 3):
+        run = [f"r{n}_{i}" for i in range(n)]
+        texts += [[f"x{n}{k}{i}" for i in range(head + k)] + run[k * 2 :] + [f"y{n}{k}{i}" for i in range(tail)] for k in range(3)]
+        texts.append(run[: n - 5] + [f"z{n}_{i}" for i in range(30)] + run[5:])
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    assert bag(map(tuple, suffixes.suffix_dedup(df).collect())) == bag(brute.without_repeats(pairs(df), 50))
+
+
+def test_neighbours_of_sorted_suffixes_have_most_in_common():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    n = 500
+    key, rest = rng.integers(0, 40, n), (rng.integers(0, 3, n) << 42 | rng.integers(0, 3, n) << 21 | rng.integers(0, 3, n))
+    order = np.lexsort((rest, key))
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(key[order]), pa.array(np.arange(n, dtype=np.int32)), pa.array(order), pa.array(np.zeros(n, dtype=np.int32)),
+         pa.array(np.zeros(n, dtype=np.int64)), pa.array(rest[order])], ["key", "at", "id", "no_id", "tie", "following"])
+    cuts = [0, 1, 2, 90, 91, 300, n]
+    got = {}
+    for batch in repeats._repeated_rows(rows.slice(a, b - a) for a, b in zip(cuts, cuts[1:])):
+        got |= dict(zip(batch.column("id").to_pylist(), (np.asarray(batch.column("at")) & 3).tolist()))
+    for i in range(n):
+        others = [j for j in range(n) if j != i and key[j] == key[i]]
+        if others:
+            assert got.pop(i) == max(int(repeats._in_common(rest[[i]].view(np.uint64), rest[[j]].view(np.uint64))[0]) for j in others)
+    assert not got
+
+
+@pytest.mark.parametrize("sides", [1, 16])
+def test_crowded_suffixes_lose_no_repeat(spark, monkeypatch, sides):
+    monkeypatch.setattr(repeats, "_SIDES", sides)
+    run = [f"m{i}" for i in range(45)]
+    texts = [" ".join([f"a{k}_{i}" for i in range(k % 9)] + run + [f"b{k % 7}_{i}" for i in range(9)]) for k in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    assert bag(map(tuple, suffixes.suffix_dedup(df).collect())) == bag(brute.without_repeats(pairs(df), 50))
+
+
 def test_word_hashes():
     words = ["a", "b", "ab", "a\0", "\0a", "1234567", "12345678", "12345679", "é", "x" * 3000, "x" * 3001, "\x1c"]
     got = repeats.word_hashes((" \t" + "\n ".join(words) + " ").encode())
@@ -288,6 +330,56 @@ def test_crowded_keys_lose_no_link(spark, monkeypatch, block):
     assert len({root[p] for p in prints}) == 1 and not set(far) & set(root)
 
 
+def test_components_of_chains_stars_and_rings(spark):
+    from martloom.llm.components import components
+
+    rng = np.random.default_rng(4)
+    names = rng.permutation(4000).tolist()
+    chain = [(names[i], names[i + 1]) for i in range(1500)]
+    star = [(names[2000], names[i]) for i in range(2001, 3000)]
+    ring = [(names[i], names[i + 1]) for i in range(3000, 3100)] + [(names[3100], names[3000])]
+    links = chain + star + ring + [(7_000_000, 7_000_000), (-5, -6), (-6, -5)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    for group in (names[:1501], names[2000:3000], names[3000:3101], [-5, -6]):
+        assert {got.pop(n) for n in group} == {min(group)}
+    assert not got
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_hub_is_split_in_shuffled_contractions(spark):
+    """A hub with 300,000 links: the join that hands its label on splits the hub's partition."""
+    from martloom.llm import components
+
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for name, value in tight.items():
+        spark.conf.set(name, value)
+    try:
+        links = spark.range(1, 300_000, 1, 8).selectExpr("id * 31 + 6 a", "5 + id div 1000000 b")
+        for contract in (components._large_star, components._small_star):
+            df = contract(links.selectExpr("b a", "a b") if contract is components._small_star else links)
+            n = df.count()
+            counted = df.groupBy().count()
+            counted.collect()
+            assert n >= 299_999 and "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in tight:
+            spark.conf.unset(name)
+
+
+def test_the_row_that_stays_is_defined(spark):
+    rows = [(1, "same text here", "b", 2), (1, "same text here", "a", 2), (1, "same text here", "a", 2), (1, None, "x", None), (1, "", "y", 1), (None, "", "z", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n int")
+    kept = {tuple(map(tuple, simhash.one_of_each(df.repartition(k)).collect())) for k in (1, 3, 5)}
+    kept = {frozenset(k) for k in kept}
+    assert len(kept) == 1
+    (only,) = kept
+    assert len(only) == 2 and {r[1] or "" for r in only} == {"same text here", ""}
+
+
 def test_one_document_of_each_group_stays(edges):
     kept = simhash.one_of_each(edges)
     assert kept.columns == edges.columns
