@@ -30,7 +30,7 @@ BUCKETS, FACTORS = 1 << 18, 4
 #: Texts of the sample that a bucket must be in, alone and for its pairs to be looked at.
 FLOOR, PAIR_FLOOR = 3, 10
 #: Gradients count from so many standard deviations of chance on: a bucket's own, and that of its pairs.
-NOISE, PAIR_NOISE = 1.5, 5.0
+NOISE, PAIR_NOISE = 1.25, 5.0
 #: Word beginnings that are terms too, by length.
 STEMS = (4, 5, 6)
 #: A beginning is another term if this many different words share it.
@@ -97,8 +97,17 @@ class SparseRows:
         self.shape = len(rows), len(columns)
         sizes = np.array([len(r) for r in rows], dtype=np.int64)
         at = place[np.concatenate(rows)] if len(rows) else np.zeros(0, dtype=np.int64)
-        row = np.repeat(np.arange(len(rows)), sizes)
-        self.at, self.row = at[at >= 0], row[at >= 0]
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+        self.at, self.row = at[at >= 0].astype(np.int32), row[at >= 0]
+
+    def only(self, columns: np.ndarray) -> SparseRows:
+        """The rows with these columns alone, numbered anew."""
+        place = np.full(self.shape[1], -1, dtype=np.int32)
+        place[columns] = np.arange(len(columns))
+        part = SparseRows([], columns[:0])
+        kept = place[self.at] >= 0
+        part.shape, part.at, part.row = (self.shape[0], len(columns)), place[self.at[kept]], self.row[kept]
+        return part
 
     def times(self, v: np.ndarray) -> np.ndarray:
         """The product with a vector."""
@@ -113,14 +122,35 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def sparse_weights(x: SparseRows, y: np.ndarray, importance: np.ndarray, rounds: int = 120) -> tuple[float, np.ndarray, np.ndarray]:
-    """Bias, weights and the columns' means of a logistic model, by accelerated proximal gradient steps.
+def sparse_weights(x: SparseRows, y: np.ndarray, importance: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, weights and the columns' means of a logistic model whose weights within the noise are exactly zero.
 
     Columns are centred and scaled to equal spread, so that one threshold, ``NOISE`` standard deviations of
-    a gradient without any effect, holds for all; weights within it become exactly zero.
+    a gradient without any effect, holds for all. Steps are taken on the columns beyond the threshold; then all
+    others are looked at again, until none of them has come to be beyond it.
     """
     mean = x.turned_times(importance)
     spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-9))
+    share = float((importance * y).sum())
+    noise = NOISE * float(np.sqrt((importance**2 * (y - share) ** 2).sum()))
+    bias, w = float(np.log((share + 1e-4) / (1 - share + 1e-4))), np.zeros(x.shape[1])
+    taking_part = np.zeros(x.shape[1], dtype=bool)
+    for _ in range(10):
+        u = w / spread
+        g = (_sigmoid(bias + x.times(u) - (u * mean).sum()) - y) * importance
+        beyond = (np.abs(x.turned_times(g) - mean * g.sum()) / spread > noise * 1.01) & ~taking_part
+        if not beyond.any():
+            break
+        taking_part |= beyond
+        some = np.flatnonzero(taking_part)
+        bias, w[some] = _proximal_steps(x.only(some), y, importance, mean[some], spread[some], noise, bias, w[some])
+    return bias, w / spread, mean
+
+
+def _proximal_steps(
+    x: SparseRows, y: np.ndarray, importance: np.ndarray, mean: np.ndarray, spread: np.ndarray, noise: float, bias: float, w: np.ndarray, rounds: int = 120
+) -> tuple[float, np.ndarray]:
+    """Accelerated proximal gradient steps from ``bias`` and ``w``, the weights of the scaled columns."""
 
     def forward(u: np.ndarray) -> np.ndarray:
         return x.times(u / spread) - (u / spread * mean).sum()
@@ -128,15 +158,13 @@ def sparse_weights(x: SparseRows, y: np.ndarray, importance: np.ndarray, rounds:
     def backward(g: np.ndarray) -> np.ndarray:
         return (x.turned_times(g) - mean * g.sum()) / spread
 
-    share = float((importance * y).sum())
-    noise = NOISE * float(np.sqrt((importance**2 * (y - share) ** 2).sum()))
     direction, steepest = np.random.default_rng(0).standard_normal(x.shape[1]), 1.0
     for _ in range(12):
         direction = backward(importance * forward(direction))
         steepest = max(float(np.linalg.norm(direction)), 1e-12)
         direction /= steepest
     step = 3.6 / steepest  # the curvature of the loss is a quarter of that at most
-    bias, w, ahead, pace = float(np.log((share + 1e-4) / (1 - share + 1e-4))), np.zeros(x.shape[1]), np.zeros(x.shape[1]), 1.0
+    ahead, pace = w, 1.0
     for _ in range(rounds):
         g = (_sigmoid(bias + forward(ahead)) - y) * importance
         moved = ahead - step * backward(g)
@@ -145,7 +173,7 @@ def sparse_weights(x: SparseRows, y: np.ndarray, importance: np.ndarray, rounds:
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         ahead = moved + (pace - 1) / faster * (moved - w)
         w, pace = moved, faster
-    return bias, w / spread, mean
+    return bias, w
 
 
 def paired_columns(x: SparseRows, y: np.ndarray, importance: np.ndarray, bias: float, w: np.ndarray, mean: np.ndarray, counts: np.ndarray) -> np.ndarray:
