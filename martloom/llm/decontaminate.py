@@ -106,7 +106,11 @@ def contaminated(n_hit: Column, n_words: Column) -> Column:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the contaminated ones, all columns as they were."""
+    """``docs`` without the contaminated ones, all columns as they were.
+
+    Rows equal in id and text stay or go together, null ids are ids like others, null and empty texts have no
+    words and stay. Without benchmark items with a word nothing goes.
+    """
     bad = (
         contamination(docs, benchmark, window)
         .where(contaminated(F.col("n_hit"), F.col("n_words")))

@@ -227,7 +227,11 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns as they were."""
+    """The rows of ``docs`` that the rules keep, all columns as they were.
+
+    Every row is judged by its own text: repeated rows stay or go together, ids may be null, and null, empty and
+    blank texts have no words and go. Without labels every line counts as content, so the base rules decide.
+    """
     verdict = judge(fit_line_field(docs, labels))
     columns, schema = docs.columns, docs.schema
 
