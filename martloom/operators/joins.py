@@ -37,6 +37,8 @@ def unique_lookup(dim: DataFrame, keys: Sequence[str], *payload: str) -> DataFra
     groups = known.groupBy(*keys, F.hash(*keys).alias("_spread"))
     if not payload:
         return groups.agg(F.lit(1)).select(*keys)
+    if len(payload) == 1:  # the same maximum; of a fixed width it stays in the hash aggregate
+        return groups.agg(F.max(payload[0]).alias("_row")).select(*keys, F.col("_row").alias(payload[0]))
     best = groups.agg(F.max(F.struct(*payload)).alias("_row"))
     return best.select(*keys, *[F.col("_row")[p].alias(p) for p in payload])
 
