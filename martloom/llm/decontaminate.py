@@ -14,9 +14,11 @@ from .text import normal_words, text_key
 
 WINDOW = 13
 
-#: Distinct benchmark windows up to which the set is broadcast (some 0.5 GB at most); a larger
+#: Bytes that the distinct benchmark windows and their item ids may take for the set to be broadcast; a larger
 #: set is joined by a shuffle on the window's hash.
-BROADCAST_WINDOWS = 2_000_000
+BROADCAST_BYTES = 256 << 20
+#: Longs of the bit field that keeps windows out of that shuffle: one for every four windows, within these bounds.
+FIELD_LEAST, FIELD_MOST = 1 << 6, 1 << 22
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -47,10 +49,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     Null text has no words; null ids are a document of their own.
     """
     grams = benchmark_windows(benchmark, window)
-    counts = {row["gram_size"]: row["count"] for row in grams.groupBy("gram_size").count().collect()}
-    if sum(counts.values()) <= BROADCAST_WINDOWS:
-        grams = F.broadcast(grams)
-    lengths = sorted(counts) or [window]
+    # What a row takes in memory: its words and ids, and a header for each of them and for the row.
+    held = F.octet_length(F.array_join("gram", " ")) + F.size("gram") * 16 + F.size("items") * 32 + 96
+    sizes = {r["gram_size"]: r for r in grams.groupBy("gram_size").agg(F.count("*").alias("n"), F.sum(held.cast("long")).alias("held")).collect()}
+    small = sum(r["held"] for r in sizes.values()) <= BROADCAST_BYTES
+    lengths = sorted(sizes) or [window]
 
     words = docs.select("doc_id", text_key(F.col("text")).alias("text_hash"), normal_words(F.col("text")).alias("words"))
     at = words.select("*", F.explode(F.sequence(F.lit(0), F.size("words"))).alias("start"))
@@ -72,6 +75,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     ).select("*", F.coalesce(F.when(F.col("window_words").isNotNull(), F.xxhash64("window_words")),
                              F.xxhash64("text_hash", "doc_id", "start")).alias("hash"))
     same = (F.col("hash") == F.col("gram_hash")) & (F.col("window_words") == F.col("gram"))
+    if small:
+        grams = F.broadcast(grams)
+    else:
+        rows = rows.where((F.col("start") == 0) | may_occur(grams, sum(r["n"] for r in sizes.values()), F.col("hash")))
     found = rows.join(grams, same, "left").where((F.col("start") == 0) | F.col("gram_hash").isNotNull())
     hit = F.when(F.col("start") > 0, F.struct((F.col("start") - 1).alias("start"), F.col("gram_size").alias("size")))
     return (
@@ -88,6 +95,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     )
 
 
+def may_occur(grams: DataFrame, n: int, window_hash: Column) -> Column:
+    """False for hashes that no window of ``grams`` has, and for some sixteenth or less of the others true by chance.
+
+    A bit is set for every window in a field of longs that grows with their number ``n`` up to 32 MB, so it is
+    one row of bounded size; it is computed once and handed to every task with the plan.
+    """
+    longs = min(FIELD_MOST, max(FIELD_LEAST, 1 << (n // 4).bit_length()))
+
+    def place(value: Column) -> Column:
+        return F.shiftrightunsigned(value, 6).bitwiseAND(F.lit(longs - 1))
+
+    def bit(value: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), value.bitwiseAND(F.lit(63)).cast("int"))
+
+    marked = grams.groupBy(place(F.col("gram_hash")).alias("at")).agg(F.bit_or(bit(F.col("gram_hash"))).alias("bits"))
+    every = grams.sparkSession.range(longs).join(marked, F.col("id") == F.col("at"), "left")
+    entries = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    field = every.agg(F.transform(entries, lambda entry: entry["bits"]).alias("field"))
+    own = F.element_at(field.scalar(), (place(window_hash) + 1).cast("int"))
+    return own.bitwiseAND(bit(window_hash)) != 0
+
+
 def _covered(hits: Column) -> Column:
     """Words inside any of the sorted (start, size) intervals."""
     empty = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("words"))

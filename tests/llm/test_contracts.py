@@ -59,8 +59,22 @@ def test_decontamination_items_and_rule(edges, items):
 
 def test_decontamination_by_a_shuffle_is_the_same(edges, items, monkeypatch):
     few = bag(map(tuple, op1(edges, items).collect()))
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
-    assert bag(map(tuple, op1(edges, items).collect())) == few
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    for most in (1 << 6, 1 << 22):
+        monkeypatch.setattr(decontaminate, "FIELD_MOST", most)
+        assert bag(map(tuple, op1(edges, items).collect())) == few
+
+
+def test_windows_that_cannot_occur_stay_out_of_the_shuffle(spark, small, items):
+    grams = decontaminate.benchmark_windows(items)
+    n = grams.count()
+    known = grams.select("gram_hash").distinct()
+    others = spark.range(200_000).select(F.xxhash64("id").alias("gram_hash"))
+    assert known.where(~decontaminate.may_occur(grams, n, F.col("gram_hash"))).count() == 0
+    passed = others.where(decontaminate.may_occur(grams, n, F.col("gram_hash"))).count()
+    assert passed < 200_000 / 14
+    none = decontaminate.benchmark_windows(items.limit(0))
+    assert others.where(decontaminate.may_occur(none, 0, F.col("gram_hash"))).count() == 0
 
 
 def test_decontamination_without_items(edges, items):
