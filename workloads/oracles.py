@@ -284,7 +284,7 @@ own as (
 entered as (select id, usr from mnp_process where status = 101)
 select fd, own.id, giver.code as donor_name, taker.code as recipient_name, uniq, status_name, mob_num, ban, market_id,
   account_type_id, tmp_mob_num,
-  case 1 when donor_id then 'PORT OUT' when recipient_id then 'PORT IN' end as portation_type, dealer_point_id,
+  case when donor_id = 1 then 'PORT OUT' when recipient_id = 1 then 'PORT IN' end as portation_type, dealer_point_id,
   entered.usr as user_id
 from own join finished on finished.process_id = own.id join live giver on giver.id = donor_id
   join live taker on taker.id = recipient_id left join entered on entered.id = own.id"""
