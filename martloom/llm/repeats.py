@@ -153,8 +153,11 @@ class Anchors:
 
 
 PIECE = np.uint64(21)
-#: Different continuations of one hash that a task sends on as they are; where it has more, they count as repeated throughout.
+#: Different continuations of one hash that a task sends on as they are; where it has more, all rows of the hash count as repeated
+#: throughout, its own and, by a row that is marked as below, those of other tasks.
 _SIDES = 16
+#: Instead of a continuation: the task has more of them. As a signed number it sorts before all continuations, which are not negative.
+_CROWDED = np.uint64((1 << 64) - 1)
 
 
 def _in_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -164,7 +167,11 @@ def _in_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
-    """(key, at, document, following): one row per anchor; ~at instead of at says that it is known to repeat throughout."""
+    """(key, at, document, following): one row per anchor; ~at instead of at says that it is known to repeat throughout.
+
+    Of a hash with more than ``_SIDES`` continuations one row keeps the key. It is marked, so that a row of
+    another task needs no neighbour with its own continuation to count as repeated.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -190,6 +197,8 @@ def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
             known, spare = np.zeros(len(key), dtype=bool), np.zeros(len(key), dtype=bool)
             known[order] = (again | crowded)[group]
             spare[order] = np.where(crowded[group], ~fresh_key, ~fresh)
+            for part in rest:
+                part[order[fresh_key & crowded[group]]] = _CROWDED
             at = at.astype(np.int32)
             at = np.where(known, ~at, at)
             key = key.view(np.int64)
@@ -201,8 +210,11 @@ def _anchor_rows(anchors: Anchors, window: int, schema: pa.Schema):
 
 
 def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and what follows, those with a neighbour of their key: document, 4 * place + hashes in common."""
-    waiting, back = None, -1
+    """Of rows sorted by key and what follows, those with a neighbour of their key: document, 4 * place + hashes in common.
+
+    Where a key's first row is marked as crowded, its rows have all hashes in common with one that was not sent.
+    """
+    waiting, back, marked = None, -1, False
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -213,6 +225,12 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if "following" in batch.schema.names:
             following = np.asarray(batch.column("following")).view(np.uint64)
             shared = np.where(same, _in_common(following[1:], following[:-1]), -1)
+            fresh = np.append(True, ~same)
+            crowded = (following == _CROWDED)[fresh]
+            crowded[0] |= marked
+            crowded = crowded[np.cumsum(fresh) - 1]
+            shared[same & crowded[1:]] = 3
+            marked = bool(crowded[-1])
         else:
             shared = np.where(same, 3, -1)
         before = np.append(back, shared)

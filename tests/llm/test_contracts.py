@@ -178,6 +178,33 @@ def test_crowded_suffixes_lose_no_repeat(spark, monkeypatch, sides):
     assert bag(map(tuple, suffixes.suffix_dedup(df).collect())) == bag(brute.without_repeats(pairs(df), 50))
 
 
+def test_a_crowded_suffix_of_another_task_is_a_partner(spark):
+    """One task has 20 continuations of a hash; another task has one of these once, before or after them."""
+    crowd, alone = [], []
+    for r in range(16):
+        run = [f"m{r}_{i}" for i in range(45)]
+        tails = [[f"b{r}_{k}_{i}" for i in range(20)] for k in range(20)]
+        crowd += [(100 * r + k, " ".join([f"a{r}_{k}", *run, *tails[k]])) for k in range(20)]
+        alone.append((100 * r + (50 if r % 2 else -50), " ".join([f"c{r}", *run, *tails[r]])))
+    df = spark.createDataFrame(spark.sparkContext.parallelize([crowd, alone], 2).flatMap(list), "doc_id long, text string")
+    assert bag(map(tuple, suffixes.suffix_dedup(df).collect())) == bag(brute.without_repeats(pairs(df), 50))
+
+
+def test_a_crowded_mark_reaches_all_rows_of_its_key():
+    import pyarrow as pa
+
+    mark, key = repeats._CROWDED.astype(np.int64), [1, 1, 1, 2, 2, 3, 4, 4, 4, 4]
+    rest = [mark, 7 << 42, 8 << 42, 7 << 42, 8 << 42, mark, mark, mark, 7 << 42, 9 << 42]
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(key), pa.array(np.array([~0, 1, 2, 3, 4, ~5, ~6, ~7, 8, 9], dtype=np.int32)), pa.array(range(10)),
+         pa.array([0] * 10), pa.array([0] * 10), pa.array(rest)], ["key", "at", "id", "no_id", "tie", "following"])
+    for cuts in ([0, 10], list(range(11)), [0, 2, 7, 9, 10]):
+        got = {}
+        for batch in repeats._repeated_rows(rows.slice(a, b - a) for a, b in zip(cuts, cuts[1:])):
+            got |= dict(zip(batch.column("id").to_pylist(), (np.asarray(batch.column("at")) & 3).tolist()))
+        assert got == {0: 3, 1: 3, 2: 3, 3: 0, 4: 0, 5: 3, 6: 3, 7: 3, 8: 3, 9: 3}
+
+
 def test_word_hashes():
     words = ["a", "b", "ab", "a\0", "\0a", "1234567", "12345678", "12345679", "é", "x" * 3000, "x" * 3001, "\x1c"]
     got = repeats.word_hashes((" \t" + "\n ".join(words) + " ").encode())
