@@ -13,20 +13,21 @@ def components(links: DataFrame) -> DataFrame:
 
     Every round hooks each node's greater neighbours to its least one, then its lesser
     ones; the links become stars after a number of rounds that grows as the logarithm
-    of the longest chain. Least neighbours are combined in two levels, first for each of a
-    node's parts by a hash of the neighbour, so the links of a hub meet in no task; the joins
-    that hand them on read both sides from exchanges of their own, where adaptive execution
-    can split a hub. Each round is written to the shared folder, and the one before it removed.
+    of the longest chain. Least neighbours are combined within each task first, so of a hub's links
+    one row a task is exchanged; the joins that hand them on read both sides from exchanges of their own,
+    where adaptive execution can split a hub. Each round is written to
+    the shared folder, and the one before it removed. Stars have the fewest links that
+    hold their nodes together, so they are looked for where a round made no link less.
     """
     spark = links.sparkSession
     folder = fresh_folder(spark, "components")
-    now = _stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{folder}/0")
+    now = _stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), f"{folder}/0")
     number, before = 0, None
     while True:
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
+        count = now.count()
+        if not count or count == before and _are_stars(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
-        number, before = number + 1, state
+        number, before = number + 1, count
         halfway = _stored(_large_star(now), f"{folder}/{number}-large")
         remove(spark, f"{folder}/{number - 1}")
         now = _stored(_small_star(halfway), f"{folder}/{number}")
@@ -39,14 +40,21 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every greater end has one link and is no lesser end; ``links`` has none twice."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("ups"), F.lit(0).alias("downs"))
+    ends = ends.union(links.select("b", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("ups").alias("ups"), F.max("downs").alias("downs"))
+    return ends.agg(F.max(F.col("ups") + F.when(F.col("ups") > 0, F.col("downs")).otherwise(0))).first()[0] == 1
+
+
 def least_neighbours(links: DataFrame) -> DataFrame:
     """(node, m): the least ``b`` of each ``a``.
 
-    Parts of a node are combined first. The hash among the last grouping columns changes no group; it
+    The hash among the grouping columns changes no group; it
     keeps the aggregate from being joined in place, which would pin a node's links to its task.
     """
-    parts = links.groupBy(F.col("a").alias("node"), F.pmod(F.xxhash64("b"), F.lit(64)).alias("part")).agg(F.min("b").alias("m"))
-    return parts.groupBy("node", F.hash("node").alias("spread")).agg(F.min("m").alias("m")).select("node", "m")
+    least = links.groupBy(F.col("a").alias("node"), F.hash("a").alias("spread")).agg(F.min("b").alias("m"))
+    return least.select("node", "m")
 
 
 def _large_star(links: DataFrame) -> DataFrame:

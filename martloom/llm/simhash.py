@@ -26,6 +26,8 @@ BITS, SEED, SHINGLE = 3, 42, 3
 SEGMENTS, WIDTH = 4, 16
 #: Fingerprints of one key are compared in blocks of about this many.
 BLOCK = 2048
+#: A task hands its links on as stars once they have more nodes than this.
+STARS = 1 << 20
 
 
 def fingerprint(text: str) -> int:
@@ -103,11 +105,34 @@ def _forest(prints: list[int]) -> list[tuple[int, int]]:
     return links
 
 
+class _Stars:
+    """Nodes of the links so far, each with a node on the way to the least one that these links reach."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def top(self, node: int) -> int:
+        above = self.above
+        while (up := above.setdefault(node, node)) != node:
+            above[node] = above.setdefault(up, up)
+            node = up
+        return node
+
+    def add(self, links: list[tuple[int, int]]) -> None:
+        for a, b in links:
+            a, b = self.top(a), self.top(b)
+            self.above[max(a, b)] = min(a, b)
+
+    def links(self) -> pa.RecordBatch:
+        found = [(node, self.top(node)) for node in list(self.above)]
+        self.above = {}
+        return _as_links([(a, b) for a, b in found if a != b])
+
+
 def _link_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, i, j): the links within each such block pair."""
-    group, held = None, []
+    """Rows sorted by (key, i, j): stars that hold together what the links within the task's block pairs do."""
+    group, held, stars = None, [], _Stars()
     for batch in batches:
-        links: list[tuple[int, int]] = []
         columns = [np.asarray(batch.column(c)) for c in ("key", "i", "j", "print")]
         new = np.ones(batch.num_rows, dtype=bool)
         if batch.num_rows:
@@ -116,12 +141,13 @@ def _link_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(cuts, cuts[1:]):
             own = tuple(int(c[a]) for c in columns[:3])
             if own != group:
-                links += _forest(held) if len(held) > 1 else []
+                stars.add(_forest(held) if len(held) > 1 else [])
                 group, held = own, []
             held += columns[3][a:b].tolist()
-        yield _as_links(links)
-    if len(held) > 1:
-        yield _as_links(_forest(held))
+        if len(stars.above) > STARS:
+            yield stars.links()
+    stars.add(_forest(held) if len(held) > 1 else [])
+    yield stars.links()
 
 
 def _as_links(links: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -131,9 +157,11 @@ def _as_links(links: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def fingerprint_links(prints: DataFrame) -> DataFrame:
-    """Links (a, b) between different fingerprints ``print``: a spanning forest for each key's block pairs.
+    """Links (a, b) that hold together the different fingerprints ``print`` that verified links do.
 
-    A key with many fingerprints is cut into blocks by a hash, and every pair of
+    A group of fingerprints gives a spanning forest of its links, a task the stars of all its forests: a node and the
+    least one that it reaches there, so long chains are short and pairs that share several keys are few before
+    the first round. A key with many fingerprints is cut into blocks by a hash, and every pair of
     blocks is a group of its own, so no group grows with the input and none is skipped.
     """
     leaders = golay_leaders()

@@ -386,6 +386,35 @@ def test_components_of_chains_stars_and_rings(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_rounds_end_where_the_links_are_stars(spark, monkeypatch):
+    from martloom.llm import components
+
+    written, stored = [], components._stored
+    monkeypatch.setattr(components, "_stored", lambda df, path: written.append(path) or stored(df, path))
+    links = spark.createDataFrame([(1, 2), (2, 3), (3, 2), (9, 8), (9, 8)], "a long, b long")
+    assert {tuple(r) for r in components.components(links).collect()} == {(1, 1), (2, 1), (3, 1), (9, 8), (8, 8)}
+    assert len(written) == 5  # one round makes a link less as it stood twice, the next none
+    written.clear()
+    assert components.components(links.distinct().where("a <> 3")).count() == 5
+    assert len(written) == 3  # one round
+    for rows, stars in ([(2, 1), (3, 1), (5, 4)], True), ([(2, 1), (3, 2)], False), ([(3, 1), (3, 2)], False):
+        assert components._are_stars(spark.createDataFrame(rows, "a long, b long")) == stars
+
+
+@pytest.mark.parametrize("most", [3, 1 << 20])
+def test_a_task_hands_its_links_on_as_stars(spark, monkeypatch, most):
+    """A chain of prints, each two bits from the next, in one task: every node is linked once, to the least it reaches."""
+    monkeypatch.setattr(simhash, "STARS", most)
+    prints = [sum(1 << b for b in range(2 * n)) for n in range(20)] + [1 << 60 | 0x5A5A5A5A5A]
+    df = spark.createDataFrame([(p,) for p in prints], "print long")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        links = [tuple(r) for r in simhash.fingerprint_links(df).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(links) == [(p, 0) for p in sorted(prints[1:20])] if most > 3 else {p for link in links for p in link} == set(prints[:20])
+
+
 def test_a_hub_is_split_in_shuffled_contractions(spark):
     """A hub with 300,000 links: the join that hands its label on splits the hub's partition."""
     from martloom.llm import components
