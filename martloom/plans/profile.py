@@ -359,5 +359,5 @@ def profile(
         rows = join(rows, inputs)
         packed = packed.bitwiseOR(pack(flags, bits))
     narrow = rows.select(*KEYS, packed.alias("_flags"), *values)
-    out = aggregate_packed(narrow, KEYS, "_flags", bits, metrics, _finish(amounts))
+    out = aggregate_packed(narrow, KEYS, "_flags", bits, metrics, _finish(amounts), few_rows_per_key=True)
     return out.withColumn("calc_date", day_literal(as_of))

@@ -19,6 +19,9 @@ SETTINGS = {
     # A generated method beyond this size is never compiled by HotSpot; separate
     # operators are faster than one interpreted stage.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Rows already sorted by the grouping key are aggregated one key after the other, not
+    # in a table of all keys.
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
     # A rewrite for a date replaces that date only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -188,6 +188,20 @@ def test_metrics_else_values_and_unknown_flags(spark):
     assert rows(got, "k", "t", "c", "p", "l") == [(1, 5, 1, 5, 5), (2, 0, 0, 0, None), (3, -4, 1, -4, -4)]
 
 
+def test_metrics_are_the_same_for_few_rows_per_key(spark):
+    """NULL keys are a group of their own, whatever the order and the number of a key's rows."""
+    data = [(k, i % 2 or None, i % 4, None if i % 5 == 0 else i - 50) for i in range(200) for k in (-7, None, i)]
+    df = spark.createDataFrame(data, "a int, b int, flags long, v long").repartition(5)
+    metrics = [kpi.Metric(f"{how}_{'_'.join(when)}", how, None if how == "count" else "v", when)
+               for how in ("total", "count", "peak", "latest") for when in (("x",), ("x", "y"))]
+    names = ["a", "b", *[m.name for m in metrics]]
+    one, other = (
+        kpi.aggregate_packed(df, ["a", "b"], "flags", {"x": 1, "y": 2}, metrics, few_rows_per_key=few) for few in (False, True)
+    )
+    assert other.columns == one.columns == names and other.count() == 204
+    assert one.exceptAll(other).count() == other.exceptAll(one).count() == 0
+
+
 @pytest.mark.parametrize("kind, values, total", [
     ("decimal(18,2)", ["0.10", "-12345678901234.57"], "-12345678901234.47"),
     ("decimal(18,4)", ["0.0199", "0.0002"], "0.0201"),

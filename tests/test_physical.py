@@ -80,6 +80,15 @@ def test_profile_reads_only_needed_columns(spark, sf):
     assert "rounded_data_volume" not in plan and "Join" not in plan
 
 
+@pytest.mark.parametrize("name", [n for n in q.QUERIES if n.startswith(("subscriber_profile", "profile_"))])
+def test_profile_fills_one_wide_buffer_at_a_time(spark, sf, name):
+    """Narrow rows are exchanged and sorted by key; neither side of the exchange has a table of wide buffers."""
+    _, plan = as_run(q.QUERIES[name](spark, sf))
+    wide = [line.strip(" :+-") for line in plan.splitlines() if "Aggregate" in line and "[subs_key" in line]
+    assert len(wide) == 1 and "SortAggregate" in wide[0] and "partial_" not in wide[0]
+    assert plan.count("Exchange hashpartitioning(subs_key") == 1
+
+
 def test_a_hot_key_and_null_keys_are_split_in_shuffled_lookups(tight, tmp_path):
     """A third of the fact on one key and a third on NULL, with a lookup too big to broadcast."""
     spark = tight
