@@ -117,15 +117,22 @@ class Amount:
     scale: int
 
     def total(self, units: Column) -> Column:
-        """A sum (or peak) of units as an amount; its fraction has the column's own digits."""
+        """A sum (or peak) of units as an amount; its fraction has the column's own digits.
+
+        Most sums of a wide aggregate are 0, which needs no decimal arithmetic.
+        """
         if not self.scale:
             return units
-        one = F.lit(Decimal(1).scaleb(-self.scale))
-        return (units.cast("decimal(20,0)") * one).cast(f"decimal(28,{self.scale})")
+        kind = f"decimal(28,{self.scale})"
+        return F.when(units == 0, F.lit(0).cast(kind)).otherwise(self._scaled(units).cast(kind))
 
     def per(self, units: Column, parts: int) -> Column:
         """A sum of units in another unit of measure, divided once."""
-        return self.total(units).cast("double") / parts
+        amount = self._scaled(units) if self.scale else units
+        return F.when(units == 0, F.lit(0.0)).otherwise(amount.cast("double") / parts)
+
+    def _scaled(self, units: Column) -> Column:
+        return units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-self.scale))
 
 
 def exact(df: DataFrame, column: Column) -> Amount:

@@ -207,10 +207,10 @@ def _cell_flags() -> dict[str, Column]:
 
 def _amounts(fact: DataFrame) -> dict[str, Amount]:
     """What is summed, exactly in any order."""
-    charge = F.col("charge_amt") + F.col("vat_amt")
+    revenue = exact(fact, F.col("charge_amt") + F.col("vat_amt"))
     return {
-        "revenue": exact(fact, charge),
-        "turnover": exact(fact, F.abs(charge)),
+        "revenue": revenue,
+        "turnover": Amount(F.abs(revenue.units), revenue.scale),
         "recharge": exact(fact, F.col("recharge_amt")),
         "seconds": exact(fact, F.col("actual_call_duration_sec")),
         "bytes": exact(fact, F.col("rounded_data_volume")),

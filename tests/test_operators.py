@@ -202,6 +202,16 @@ def test_metrics_are_the_same_for_few_rows_per_key(spark):
     assert one.exceptAll(other).count() == other.exceptAll(one).count() == 0
 
 
+def test_sums_that_are_zero_or_unknown_have_the_type_of_others(spark):
+    df = spark.createDataFrame([(1, "0.0"), (2, None), (3, "-1.5"), (3, "1.5"), (4, "90")], "k int, t string")
+    df = df.select("k", F.col("t").cast("decimal(18,1)").alias("a"))
+    amount = kpi.exact(df, F.col("a"))
+    total = F.sum(amount.units)
+    got = df.groupBy("k").agg(amount.total(total).alias("s"), amount.per(total, 60).alias("m"))
+    assert dict(got.dtypes) == {"k": "int", "s": "decimal(28,1)", "m": "double"}
+    assert rows(got, "k", "s", "m") == [(1, 0, 0.0), (2, None, None), (3, 0, 0.0), (4, 90, 1.5)]
+
+
 @pytest.mark.parametrize("kind, values, total", [
     ("decimal(18,2)", ["0.10", "-12345678901234.57"], "-12345678901234.47"),
     ("decimal(18,4)", ["0.0199", "0.0002"], "0.0201"),
